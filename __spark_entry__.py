@@ -51,6 +51,7 @@ from tripgrain.sinks.gold import (  # noqa: E402
 from tripgrain.sources.positions import (  # noqa: E402
     incremental,
     latest_partition,
+    latest_partition_sql,
     partitions_after,
     read_positions,
 )
@@ -126,6 +127,10 @@ def latest(grain: Grain) -> Query:
     return lambda spark, sf_dir: latest_partition(_positions(spark, sf_dir, grain), grain)
 
 
+def latest_by_sql(grain: Grain) -> Query:
+    return lambda spark, sf_dir: latest_partition_sql(_positions(spark, sf_dir, grain), grain)
+
+
 def trips(grain: Grain) -> Query:
     return lambda spark, sf_dir: trip_agg(_samples(spark, sf_dir, grain), grain.trip_keys)
 
@@ -259,15 +264,11 @@ def refreshed(grain: Grain) -> Query:
     """A full load up to the watermark, then the rest incrementally, then a run with no news."""
 
     def query(spark, sf_dir):
-        source, target = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+        target = scratch_path(spark, f"gold-{grain.name}")
         table = target.rsplit("/", 1)[1].replace("-", "_")
         positions = _positions(spark, sf_dir, grain)
-        later = incremental(positions, grain, WATERMARKS[grain.name])
-        batches = [_until(positions, grain), later]
-        for batch in batches:
-            write_partitioned(batch, grain.partitions, source, "append")
-            refresh(spark, grain.name, source, target, table)
-        assert refresh(spark, grain.name, source, target, table) is None
+        for arrived in (_until(positions, grain), positions, positions):
+            refresh(arrived, grain, target, table)
         spark.sql(f"DROP TABLE {table}")
         return _written(spark, target, grain)
 
@@ -310,6 +311,7 @@ def queries() -> dict[str, Query]:
         "partition_timestamp": partition_timestamps,
         "scan_incremental": scan_incremental,
         "latest_partition": latest,
+        "latest_partition_sql": latest_by_sql,
         "trip_agg": trips,
         "ordered_trace": traces,
         "trip_distance": distances,
@@ -494,13 +496,15 @@ def oracle_sql() -> dict[str, str]:
         keys, parts = ", ".join(grain.trip_keys), ", ".join(grain.partitions)
         path = " || ".join(f"'{part}=' || {part} || '/'" for part in grain.partitions)
         ctes = _ctes(grain)
+        latest_sql = f"""{ctes}
+            select {parts}, {start[name]} as latest_ts from positions
+            order by {", ".join(f"{part} desc" for part in grain.partitions)} limit 1"""
         named |= {
             f"partition_timestamp_{name}": f"""{ctes}
                 select distinct {parts}, {start[name]} as partition_ts from positions""",
             f"scan_incremental_{name}": f"{ctes} select * from positions where {later[name]}",
-            f"latest_partition_{name}": f"""{ctes}
-                select {parts}, {start[name]} as latest_ts from positions
-                order by {", ".join(f"{part} desc" for part in grain.partitions)} limit 1""",
+            f"latest_partition_{name}": latest_sql,
+            f"latest_partition_sql_{name}": latest_sql,
             f"trip_agg_{name}": f"{ctes} select {keys}, {trip_columns} from trips",
             f"ordered_trace_{name}": _trace_sql(grain, 10_000),
             f"trip_distance_{name}": f"{ctes} select {keys}, total_distance from trips",

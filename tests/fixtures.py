@@ -1,0 +1,91 @@
+"""Small position frames, and the measures worked out in plain Python."""
+
+import math
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+from tripgrain.schema import POSITION_COLUMNS
+
+SCHEMA = (
+    "trip_id string, user_id long, vehicle_id long, ts timestamp_ntz, "
+    "latitude double, longitude double, ct long, sp double"
+)
+START = datetime(2024, 1, 5, 10)
+
+
+def frame(spark, samples, schema=SCHEMA):
+    return spark.createDataFrame(samples, schema)
+
+
+def sample(trip="a", user=1, vehicle=1, ts=START, lat=35.0, lon=139.0, ct=0, sp=0.0):
+    return (trip, user, vehicle, ts, lat, lon, ct, sp)
+
+
+def mixed_samples(seed=7, rows=1500):
+    """Ties, exact copies, unknown coordinates, speeds and trips; one trip has a third of all."""
+    chance = random.Random(seed)
+    made = []
+    while len(made) < rows:
+        if made and chance.random() < 0.15:
+            made.append(chance.choice(made))
+            continue
+        located = chance.random() < 0.8
+        made.append(
+            sample(
+                trip=chance.choice(["hot", "hot", None, "b", "c", f"t{chance.randrange(40)}"]),
+                user=chance.choice([None, 1, 2, 3]),
+                vehicle=chance.choice([None, 1, 2]),
+                ts=START + timedelta(minutes=chance.randrange(60 * 40)),
+                lat=35 + chance.randrange(100) / 100 if located else None,
+                lon=139 + chance.randrange(100) / 100 if located else None,
+                ct=chance.randrange(300),
+                sp=chance.choice([None, 0.0, 4.999, 5.004, 20.0, chance.uniform(0, 80)]),
+            )
+        )
+    return made
+
+
+def in_order(values):
+    return tuple((value is not None, 0 if value is None else value) for value in values)
+
+
+def metres(a, b):
+    lat1, lon1, lat2, lon2 = map(math.radians, (*a, *b))
+    chord = (
+        math.sin((lat2 - lat1) / 2) ** 2
+        + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
+    )
+    return 2 * 6_371_000 * math.asin(math.sqrt(min(1.0, chord)))
+
+
+def groups_by_hand(samples, key):
+    groups = defaultdict(list)
+    for row in samples:
+        named = dict(zip(POSITION_COLUMNS, row))
+        groups[key(named)].append(named)
+    order = ("ct", "ts", "latitude", "longitude", "sp")
+    for rows in groups.values():
+        rows.sort(key=lambda row: in_order([row[name] for name in order]))
+    return groups
+
+
+def distance_by_hand(rows):
+    known = [
+        (row["latitude"], row["longitude"]) for row in rows if row["latitude"] is not None
+    ]
+    return math.floor(sum(map(metres, known, known[1:])) + 0.5)
+
+
+def events_by_hand(rows, stop=5.0, harsh=10.0):
+    counts = [0, 0, 0, 0]
+    for one, two in zip(rows, rows[1:]):
+        if one["sp"] is None or two["sp"] is None or two["ct"] <= one["ct"]:
+            continue
+        was, now = round(one["sp"], 2), round(two["sp"], 2)
+        change = (now - was) / (two["ct"] - one["ct"])
+        if change >= harsh:
+            counts[0 if was <= stop else 2] += 1
+        elif change <= -harsh:
+            counts[1 if now <= stop else 3] += 1
+    return tuple(counts)

@@ -5,6 +5,10 @@ normally one window partition. A real trip sampled once a second has at most 86,
 a group far above that (a missing or default trip id) may hold a large share of the table. Such hot
 groups are found by an exact count and cut into ordered tiles, which the callers work on
 separately and stitch together. Results are the same either way.
+
+At most `MAX_HOT_GROUPS` groups, the largest ones, count as hot, so that their keys can always be
+broadcast. Any group beyond those has under one in `MAX_HOT_GROUPS` of all rows and is processed
+as an ordinary one.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from tripgrain.durable import cut_lineage
 from tripgrain.schema import SAMPLE_ORDER
 
 MAX_GROUP_ROWS = 1_000_000
-MAX_BROADCAST_KEYS = 200_000
+MAX_HOT_GROUPS = 200_000
 MAX_TILES = 20_000
 
 
@@ -36,29 +40,24 @@ def ordered_samples(group: list[str]) -> WindowSpec:
 
 @dataclass(frozen=True)
 class HotGroups:
-    """The groups above the row limit: their keys, how many there are, and the tiles to use."""
+    """The keys of the hot groups, and the number of tiles to cut them into."""
 
     groups: DataFrame
-    count: int
     tiles: int
 
     def select_from(self, samples: DataFrame, keys: list[str], how: str) -> DataFrame:
-        return join_null_safe(samples, self.groups.select(*keys), keys, how, self.count)
+        return join_small(samples, self.groups.select(*keys), keys, how)
 
 
-def join_null_safe(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, right_rows: int
-) -> DataFrame:
-    """Equi-join where NULL keys match, keeping the left names.
+def join_small(left: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Broadcast equi-join where NULL keys match, keeping the left names.
 
-    The right side is broadcast while it is within `MAX_BROADCAST_KEYS` rows; beyond that Spark
-    joins by shuffle, where adaptive execution splits the skewed keys of the left side.
+    `small` has one row per hot group, or per tile of one: at most `MAX_HOT_GROUPS` plus
+    `MAX_TILES` rows.
     """
-    right = right.withColumnsRenamed({key: f"_{key}" for key in keys})
-    if right_rows <= MAX_BROADCAST_KEYS:
-        right = F.broadcast(right)
+    small = F.broadcast(small.withColumnsRenamed({key: f"_{key}" for key in keys}))
     matches = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    return left.join(right, matches, how).drop(*[f"_{key}" for key in keys])
+    return left.join(small, matches, how).drop(*[f"_{key}" for key in keys])
 
 
 def without_null_keys(samples: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,12 +77,12 @@ def find_hot_groups(
     if drop_null_keys:
         samples = without_null_keys(samples, keys)
     sizes = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    groups = cut_lineage(sizes.filter(F.col("rows") > max_group_rows))
-    found = groups.agg(F.count(F.lit(1)).alias("groups"), F.sum("rows").alias("rows")).first()
-    if not found["groups"]:
+    largest = sizes.filter(F.col("rows") > max_group_rows).orderBy(F.desc("rows"))
+    groups = cut_lineage(largest.limit(MAX_HOT_GROUPS))
+    hot_rows = groups.agg(F.sum("rows").alias("rows")).first()["rows"]
+    if hot_rows is None:
         return None
-    tiles = min(-(-found["rows"] // max_group_rows), MAX_TILES)
-    return HotGroups(groups, found["groups"], tiles)
+    return HotGroups(groups, min(-(-hot_rows // max_group_rows), MAX_TILES))
 
 
 def by_group_size(

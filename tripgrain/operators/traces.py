@@ -9,7 +9,7 @@ from tripgrain.durable import cut_lineage
 from tripgrain.operators.skew import (
     HotGroups,
     by_group_size,
-    join_null_safe,
+    join_small,
     ordered_samples,
     with_tiles,
 )
@@ -56,8 +56,7 @@ def _tiled_trips(
         .withColumn("offset", F.coalesce(F.sum("rows").over(earlier_tiles), F.lit(0)))
         .drop("rows")
     )
-    # A tile border adds at most one row per tile to the one row each hot group has.
-    tiled = join_null_safe(tiled, offsets, [*keys, "tile"], "inner", hot.count + hot.tiles)
+    tiled = join_small(tiled, offsets, [*keys, "tile"], "inner")
 
     in_order = ordered_samples([*keys, "tile"])
     earlier_rows = in_order.rowsBetween(Window.unboundedPreceding, -1)

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tripgrain.durable import cut_lineage
 from tripgrain.plans.statistics import driving_stat
-from tripgrain.schema import GRAINS
+from tripgrain.schema import Grain
 from tripgrain.sinks.gold import (
     FULL_LOAD,
     INCREMENTAL,
     register_partitions,
+    repair_registration,
     target_exists,
     write_gold,
 )
-from tripgrain.sources.positions import read_positions, watermark_of
+from tripgrain.sources.positions import incremental, watermark_of
 
 
 def resolve_load_type(spark: SparkSession, load_type: str, table: str, path: str) -> str:
@@ -27,9 +28,8 @@ def resolve_load_type(spark: SparkSession, load_type: str, table: str, path: str
 
 
 def refresh(
-    spark: SparkSession,
-    grain_name: str,
-    source_path: str,
+    positions: DataFrame,
+    grain: Grain,
     target_path: str,
     table: str,
     load_type: str = INCREMENTAL,
@@ -37,14 +37,19 @@ def refresh(
 ) -> str | None:
     """Bring the gold table of a grain up to date; returns the load type that ran, if any did.
 
-    An incremental load reads the source partitions strictly later than the latest gold
+    An incremental load takes the source partitions strictly later than the latest gold
     partition, so samples that arrive late for a bucket already written stay out. With nothing
     new, nothing is written.
     """
-    grain = GRAINS[grain_name]
+    spark = positions.sparkSession
     load_type = resolve_load_type(spark, load_type, table, target_path)
-    watermark = watermark_of(spark, target_path, grain) if load_type == INCREMENTAL else None
-    positions = read_positions(spark, source_path, grain, watermark)
+    if load_type == INCREMENTAL:
+        watermark = watermark_of(spark, target_path, grain)
+        if watermark is None:
+            load_type = FULL_LOAD
+        else:
+            repair_registration(spark, table, grain, watermark)
+            positions = incremental(positions, grain, watermark)
     if positions.isEmpty():
         return None
     # One row per bucket: computed once, then written and listed from storage.

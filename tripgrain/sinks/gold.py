@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,29 +13,43 @@ from tripgrain.schema import Grain
 FULL_LOAD = "FULL_LOAD"
 INCREMENTAL = "INCREMENTAL"
 
+# Fixed value: the directory name Spark gives to a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-def write_partitioned(table: DataFrame, partitions: Sequence[str], path: str, mode: str) -> None:
-    """Partitioned Parquet with few files: rows are brought together by partition first.
+ADDED_PER_STATEMENT = 1000
 
-    `rebalance` merges small partitions and splits large ones by size.
-    """
+
+def write_partitioned(table: DataFrame, partitions: Sequence[str], path: str, mode: str) -> None:
+    """Partitioned Parquet of any size: `rebalance` merges small partitions and splits large ones."""
     together = table.hint("rebalance", *partitions)
     together.write.mode(mode).partitionBy(*partitions).parquet(path)
 
 
 def write_gold(gold: DataFrame, grain: Grain, path: str, load_type: str) -> None:
-    """A full load replaces the gold table, an incremental one adds to it."""
+    """A full load replaces the gold table, an incremental one adds to it.
+
+    A directory holds few rows (31 at most), so each is one file from one task. The number of
+    tasks is set, because adaptive execution would merge such small data into one task that
+    writes all directories one after the other.
+    """
     mode = "append" if load_type == INCREMENTAL else "overwrite"
-    write_partitioned(gold, grain.partitions, path, mode)
+    tasks = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = gold.repartition(tasks, *grain.partitions)
+    together.write.mode(mode).partitionBy(*grain.partitions).parquet(path)
 
 
 def partition_paths(gold: DataFrame, grain: Grain) -> DataFrame:
     """One `partition_path` such as `year=2024/month=1/` for each partition present."""
-    path = F.concat(
-        *[F.concat(F.lit(f"{part}="), F.col(part), F.lit("/")) for part in grain.partitions]
-    )
     present = gold.select(*grain.partitions).distinct()
-    return present.dropna().select(path.alias("partition_path"))
+    directories = [
+        F.concat(
+            F.lit(f"{part}="),
+            F.coalesce(F.col(part).cast("string"), F.lit(NULL_PARTITION)),
+            F.lit("/"),
+        )
+        for part in grain.partitions
+    ]
+    return present.select(F.concat(*directories).alias("partition_path"))
 
 
 def target_exists(spark: SparkSession, table: str, path: str) -> bool:
@@ -50,8 +65,8 @@ def register_partitions(
 ) -> None:
     """Create the external table if needed and make the written partitions known.
 
-    Safe to repeat. A full load rebuilds the entry; an incremental load adds the partitions of
-    the batch, whose number is bounded by the buckets it covers.
+    Safe to repeat. A full load rebuilds the entry from the directories. An incremental load adds
+    the partitions of the batch, at most one per bucket, the latest last.
     """
     if load_type == FULL_LOAD:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -63,11 +78,29 @@ def register_partitions(
         )
         spark.catalog.recoverPartitions(table)
         return
-    specs = [
-        ", ".join(f"{part}={row[part]}" for part in grain.partitions)
-        for row in gold.select(*grain.partitions).distinct().dropna().toLocalIterator()
-    ]
-    if specs:
-        added = " ".join(f"PARTITION ({spec})" for spec in specs)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    added = gold.select(*grain.partitions).distinct().orderBy(*grain.partitions).collect()
+    for start in range(0, len(added), ADDED_PER_STATEMENT):
+        specs = " ".join(
+            f"PARTITION ({partition_spec(row.asDict())})"
+            for row in added[start : start + ADDED_PER_STATEMENT]
+        )
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     spark.catalog.refreshTable(table)
+
+
+def partition_spec(values: dict[str, int | None]) -> str:
+    return ", ".join(
+        f"{part}={'null' if value is None else value}" for part, value in values.items()
+    )
+
+
+def repair_registration(
+    spark: SparkSession, table: str, grain: Grain, watermark: datetime
+) -> None:
+    """Register what an earlier run wrote but did not live to register.
+
+    Partitions are added in ascending order, so it is enough to look for the latest one.
+    """
+    latest = partition_spec({part: getattr(watermark, part) for part in grain.partitions})
+    if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({latest})").isEmpty():
+        spark.catalog.recoverPartitions(table)

@@ -58,6 +58,18 @@ def latest_partition(table: DataFrame, grain: Grain) -> DataFrame:
     )
 
 
+def latest_partition_sql(table: DataFrame, grain: Grain) -> DataFrame:
+    """The same by grouping and sorting in SQL over a temporary view of the table."""
+    parts = ", ".join(grain.partitions)
+    largest = ", ".join(f"max({part}) AS {part}" for part in grain.partitions)
+    descending = ", ".join(f"{part} DESC" for part in grain.partitions)
+    latest = table.sparkSession.sql(
+        f"SELECT {largest} FROM {{gold}} GROUP BY {parts} ORDER BY {descending} LIMIT 1",
+        gold=table.dropna(subset=list(grain.partitions)),
+    )
+    return latest.withColumn("latest_ts", partition_timestamp(grain))
+
+
 def watermark_of(spark: SparkSession, path: str, grain: Grain) -> datetime | None:
-    """Start time of the latest partition in a gold table."""
+    """Start time of the latest partition in a gold table; None if it has no dated row."""
     return latest_partition(spark.read.parquet(path), grain).first()["latest_ts"]
