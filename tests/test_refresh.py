@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+import refresh_job
 from fixtures import START, frame, mixed_samples, sample
 from tripgrain import refresh
 from tripgrain.functions.timestamps import with_time_columns
@@ -182,3 +183,19 @@ def test_partition_paths_do_not_compute_the_measures(spark, tmp_path):
     plan = paths._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<trip_id:string,ts:timestamp_ntz>" in plan
     assert [row[0] for row in paths.collect()] == ["year=2024/month=1/day=5/hour=10/"]
+
+
+def test_command_line(spark, target, tmp_path, capsys):
+    path, table = target
+    source = str(tmp_path / "silver")
+    days = [sample(ts=START + timedelta(days=n)) for n in range(2)]
+    arguments = ["--grain", "day", "--source", source, "--target", path, "--table", table]
+    for day in days:
+        write_partitioned(silver(spark, [day]), DAY.partitions, source, "append")
+        refresh_job.main(arguments)
+    refresh_job.main(arguments)
+    assert capsys.readouterr().out.split("\n")[:3] == [
+        f"{table}: FULL_LOAD", f"{table}: INCREMENTAL", f"{table}: nothing new"
+    ]
+    with pytest.raises(ValueError):
+        refresh_job.main([*arguments, "--load-type", "X"])

@@ -85,6 +85,14 @@ def test_ids_may_be_text_or_numbers(spark):
     assert as_text.collect() == hourly_stat(frame(spark, [sample(trip=7)], numbered)).collect()
 
 
+def test_tables_of_another_shape_are_refused(spark):
+    positions = frame(spark, [sample()])
+    with pytest.raises(ValueError, match="sp is missing"):
+        hourly_stat(positions.drop("sp"))
+    with pytest.raises(ValueError, match="ct is string"):
+        hourly_stat(positions.withColumn("ct", positions["ct"].cast("string")))
+
+
 def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 

@@ -9,11 +9,12 @@ from tripgrain.functions.measures import driving_minutes, trip_averages
 from tripgrain.functions.timestamps import with_bucket, year_month
 from tripgrain.operators.rollup import bucket_rollup, month_rollup
 from tripgrain.operators.trips import trip_rows
-from tripgrain.schema import DAY, HOUR, MONTH, POSITION_COLUMNS, Grain
+from tripgrain.schema import DAY, HOUR, MONTH, POSITION_COLUMNS, Grain, check_positions
 
 
 def position_samples(positions: DataFrame, grain: Grain) -> DataFrame:
     """The eight sample columns with the bucket of the grain; partition columns are dropped."""
+    check_positions(positions)
     return with_bucket(positions.select(*POSITION_COLUMNS), grain)
 
 

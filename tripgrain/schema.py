@@ -4,8 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
 POSITION_COLUMNS = ["trip_id", "user_id", "vehicle_id", "ts", "latitude", "longitude", "ct", "sp"]
 
+# What is computed with must have these types; ids are only grouped and counted, so any will do.
+COMPUTED_TYPES = {
+    "ts": (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType),
+    "latitude": T.NumericType,
+    "longitude": T.NumericType,
+    "ct": T.IntegralType,
+    "sp": T.NumericType,
+}
+
 # The order of samples inside a trip. `ct` is the recorded ordinal; the rest only breaks ties, so
 # that an answer never depends on how the input happened to be laid out.
 SAMPLE_ORDER = ["ct", "ts", "latitude", "longitude", "sp"]
@@ -20,6 +32,19 @@ EVENT_COUNTS = [
 TOTALS = ["trip_count", "user_count", "vehicle_count", "total_driving_time", "total_distance"]
 
 
+def check_positions(positions: DataFrame) -> None:
+    """Refuse a table that lacks sample columns or has them in a type that cannot be computed."""
+    found = {field.name: field.dataType for field in positions.schema}
+    problems = [f"{name} is missing" for name in POSITION_COLUMNS if name not in found]
+    problems += [
+        f"{name} is {found[name].simpleString()}"
+        for name, kinds in COMPUTED_TYPES.items()
+        if name in found and not isinstance(found[name], kinds)
+    ]
+    if problems:
+        raise ValueError("not a table of position samples: " + ", ".join(problems))
+
+
 @dataclass(frozen=True)
 class Grain:
     """One reporting grain: its time bucket, its partition columns and its gold layout.

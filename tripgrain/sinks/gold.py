@@ -17,12 +17,18 @@ INCREMENTAL = "INCREMENTAL"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 ADDED_PER_STATEMENT = 1000
+MAX_WRITE_TASKS = 200
+
+
+def _write(table: DataFrame, partitions: Sequence[str], path: str, mode: str) -> None:
+    # An overwrite replaces the whole table, whatever the session says about partitions.
+    writer = table.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partitions).parquet(path)
 
 
 def write_partitioned(table: DataFrame, partitions: Sequence[str], path: str, mode: str) -> None:
     """Partitioned Parquet of any size: `rebalance` merges small partitions and splits large ones."""
-    together = table.hint("rebalance", *partitions)
-    together.write.mode(mode).partitionBy(*partitions).parquet(path)
+    _write(table.hint("rebalance", *partitions), partitions, path, mode)
 
 
 def write_gold(gold: DataFrame, grain: Grain, path: str, load_type: str) -> None:
@@ -34,8 +40,8 @@ def write_gold(gold: DataFrame, grain: Grain, path: str, load_type: str) -> None
     """
     mode = "append" if load_type == INCREMENTAL else "overwrite"
     tasks = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    together = gold.repartition(tasks, *grain.partitions)
-    together.write.mode(mode).partitionBy(*grain.partitions).parquet(path)
+    together = gold.repartition(min(tasks, MAX_WRITE_TASKS), *grain.partitions)
+    _write(together, grain.partitions, path, mode)
 
 
 def partition_paths(gold: DataFrame, grain: Grain) -> DataFrame:
