@@ -21,6 +21,7 @@ from tripgrain.functions.timestamps import (  # noqa: E402
     year_month,
 )
 from tripgrain.operators.rollup import bucket_rollup  # noqa: E402
+from tripgrain.operators.skew import MAX_GROUP_ROWS  # noqa: E402
 from tripgrain.operators.traces import ordered_trace  # noqa: E402
 from tripgrain.operators.trips import (  # noqa: E402
     attach_events,
@@ -76,7 +77,7 @@ def _samples(spark: SparkSession, sf_dir: str, grain: Grain) -> DataFrame:
 
 def _hot_limit(samples: DataFrame) -> int:
     """A row limit that part of the groups exceed, to run the split and the plain path at once."""
-    return max(1, samples.count() // 128)
+    return max(1, min(samples.count() // 128, MAX_GROUP_ROWS))
 
 
 # --- queries -----------------------------------------------------------------------------------

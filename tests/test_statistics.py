@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -106,6 +107,8 @@ def test_plans_shuffle_once_per_level(spark, tmp_path):
         assert exchanges(stat(positions)) == 2
         assert plan.count("Sort [") == 1 and "Python" not in plan
         assert plan.count("FileScan") == 1
+        scanned = re.search(r"FileScan parquet \[(.*?)\]", plan)[1]
+        assert ("sp#" in scanned) == (stat is not monthly_stat)
 
 
 def test_hot_trips_are_split_without_whole_group_windows(spark):

@@ -29,13 +29,13 @@ MAX_HOT_GROUPS = 200_000
 MAX_TILES = 20_000
 
 
-def ordered_samples(group: list[str]) -> WindowSpec:
+def ordered_samples(group: list[str], order: list[str] = SAMPLE_ORDER) -> WindowSpec:
     """The samples of each group in order.
 
     The last key, which tells most groups apart, comes first: Spark's sort compares a prefix of
     the first column before whole rows.
     """
-    return Window.partitionBy(*reversed(group)).orderBy(*SAMPLE_ORDER)
+    return Window.partitionBy(*reversed(group)).orderBy(*order)
 
 
 @dataclass(frozen=True)
@@ -105,11 +105,12 @@ def by_group_size(
     return small(ordinary).unionByName(large(oversized, hot))
 
 
-def with_tiles(samples: DataFrame, keys: list[str], tiles: int) -> DataFrame:
+def with_tiles(
+    samples: DataFrame, keys: list[str], tiles: int, order: list[str] = SAMPLE_ORDER
+) -> DataFrame:
     """Cut groups into `tile`s: evenly sized ranges that follow each other in sample order.
 
-    Rows equal in all sample columns cannot be told apart by a range, so callers merge copies
-    first.
+    Rows equal in all of `order` cannot be told apart by a range, so callers merge copies first.
     """
-    ranged = samples.repartitionByRange(tiles, *keys, *SAMPLE_ORDER)
+    ranged = samples.repartitionByRange(tiles, *keys, *order)
     return ranged.withColumn("tile", F.spark_partition_id())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tripgrain.functions.motion import (
     speed_change,
 )
 from tripgrain.operators.skew import HotGroups, by_group_size, ordered_samples, with_tiles
-from tripgrain.schema import EVENT_COUNTS, SAMPLE_ORDER, Grain
+from tripgrain.schema import EVENT_COUNTS, PATH_ORDER, SAMPLE_ORDER, Grain
 
 DISTANCE = "distance_m"
 
@@ -37,48 +39,65 @@ def trip_agg(samples: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _with_measures(
-    steps: DataFrame,
-    before: list[Column],
-    after: list[Column],
-    stop_speed: float,
-    harsh: float,
-    prefix: str = "",
-) -> DataFrame:
-    """Distance and event flags between two lists of `latitude, longitude, ct, sp`."""
-    lat1, lon1, ct1, sp1 = before
-    lat2, lon2, ct2, sp2 = after
-    # A column of its own, so that the four flags share it.
-    changes = steps.withColumn("_change", speed_change(ct1, sp1, ct2, sp2))
-    measures = {
-        DISTANCE: haversine_m(lat1, lon1, lat2, lon2),
-        **harsh_events(sp1, sp2, F.col("_change"), stop_speed, harsh),
-    }
-    return changes.withColumns({f"{prefix}{name}": value for name, value in measures.items()})
-
-
-def with_steps(
-    samples: DataFrame, group: list[str], stop_speed: float, harsh: float
-) -> DataFrame:
-    """Distance and event flags of the step that leads to each sample.
+@dataclass(frozen=True)
+class Motion:
+    """Which measures to take of the steps between samples: the distance, the events or both."""
+
+    distance: bool = True
+    events: bool = True
+    stop_speed: float = STOP_SPEED
+    harsh: float = HARSH_CHANGE
+
+    @property
+    def measures(self) -> list[str]:
+        return [DISTANCE] * self.distance + EVENT_COUNTS * self.events
+
+    @property
+    def order(self) -> list[str]:
+        return SAMPLE_ORDER if self.events else PATH_ORDER
+
+    def inputs(self, samples: DataFrame) -> DataFrame:
+        return samples.withColumns(motion_inputs())
 
-    Distance is taken from the last known position, so samples without one are bridged. Event
-    flags compare with the sample just before. The window functions take bare columns, so nothing
-    but the samples themselves is shuffled.
+    def measure(self, steps: DataFrame, prefix: str = "") -> DataFrame:
+        """Add the measures of the step from `lat1, lon1, ct1, sp1` to `lat2, lon2, ct2, sp2`."""
+        lat1, lon1, ct1, sp1 = (F.col(name) for name in ("lat1", "lon1", "ct1", "sp1"))
+        lat2, lon2, ct2, sp2 = (F.col(name) for name in ("lat2", "lon2", "ct2", "sp2"))
+        measures = {}
+        if self.distance:
+            measures[DISTANCE] = haversine_m(lat1, lon1, lat2, lon2)
+        if self.events:
+            # A column of its own, so that the four flags share it.
+            steps = steps.withColumn("change", speed_change(ct1, sp1, ct2, sp2))
+            measures |= harsh_events(sp1, sp2, F.col("change"), self.stop_speed, self.harsh)
+        return steps.withColumns({f"{prefix}{name}": value for name, value in measures.items()})
+
+
+def with_steps(samples: DataFrame, group: list[str], motion: Motion) -> DataFrame:
+    """The measures of the step that leads to each sample.
+
+    Distance is taken from the last known position, so samples without one are bridged. Events
+    compare with the sample just before. The window functions take bare columns, so nothing but
+    the samples themselves is shuffled.
     """
-    in_order = ordered_samples(group)
+    in_order = ordered_samples(group, motion.order)
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    neighbours = samples.withColumns(
-        {
-            "_latitude": F.last("latitude", ignorenulls=True).over(earlier),
-            "_longitude": F.last("longitude", ignorenulls=True).over(earlier),
-            "_ct": F.lag("ct").over(in_order),
-            "_sp": F.lag("sp").over(in_order),
+    ends = {}
+    if motion.distance:
+        ends |= {
+            "lat1": F.last("latitude", ignorenulls=True).over(earlier),
+            "lon1": F.last("longitude", ignorenulls=True).over(earlier),
+            "lat2": F.col("latitude"),
+            "lon2": F.col("longitude"),
         }
-    )
-    before = [F.col(name) for name in ("_latitude", "_longitude", "_ct", "_sp")]
-    after = [F.col(name) for name in ("latitude", "longitude", "ct", "sp")]
-    return _with_measures(neighbours, before, after, stop_speed, harsh)
+    if motion.events:
+        ends |= {
+            "ct1": F.lag("ct").over(in_order),
+            "sp1": F.lag("sp").over(in_order),
+            "ct2": F.col("ct"),
+            "sp2": F.col("sp"),
+        }
+    return motion.measure(samples.withColumns(ends))
 
 
 def _sums(measures: list[str]) -> list[Column]:
@@ -86,23 +105,20 @@ def _sums(measures: list[str]) -> list[Column]:
 
 
 def _tiled_motion(
-    samples: DataFrame,
-    keys: list[str],
-    measures: list[str],
-    tiles: int,
-    stop_speed: float,
-    harsh: float,
+    samples: DataFrame, keys: list[str], motion: Motion, tiles: int
 ) -> DataFrame:
     """Motion of hot trips: steps within tiles, plus the seams between one tile and the next.
 
     Copies of a sample are dropped first: there is no distance and no `ct` progress between them.
     """
-    distinct = samples.select(*keys, *SAMPLE_ORDER).distinct()
-    stepped = with_steps(with_tiles(distinct, keys, tiles), [*keys, "tile"], stop_speed, harsh)
-    sample = F.struct(*SAMPLE_ORDER)
+    distinct = samples.select(*keys, *motion.order).distinct()
+    stepped = with_steps(
+        with_tiles(distinct, keys, tiles, motion.order), [*keys, "tile"], motion
+    )
+    sample = F.struct(*motion.order)
     located = F.when(F.col("latitude").isNotNull(), sample)
     pieces = stepped.groupBy(*keys, "tile").agg(
-        *_sums(measures),
+        *_sums(motion.measures),
         F.min(sample).alias("first"),
         F.max(sample).alias("last"),
         F.min(located).alias("first_located"),
@@ -111,54 +127,51 @@ def _tiled_motion(
     earlier = (
         Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
     )
-    seams = pieces.withColumns(
+    neighbours = pieces.withColumns(
         {
             "before": F.last("last").over(earlier),
             "before_located": F.last("last_located", ignorenulls=True).over(earlier),
         }
     )
-
-    def end(located: str, sample: str) -> list[Column]:
-        position = [F.col(located)[part] for part in ("latitude", "longitude")]
-        return position + [F.col(sample)[part] for part in ("ct", "sp")]
-
-    measured = _with_measures(
-        seams,
-        end("before_located", "before"),
-        end("first_located", "first"),
-        stop_speed,
-        harsh,
-        prefix="seam_",
-    )
+    ends = {}
+    if motion.distance:
+        ends |= {
+            "lat1": F.col("before_located.latitude"),
+            "lon1": F.col("before_located.longitude"),
+            "lat2": F.col("first_located.latitude"),
+            "lon2": F.col("first_located.longitude"),
+        }
+    if motion.events:
+        ends |= {
+            "ct1": F.col("before.ct"),
+            "sp1": F.col("before.sp"),
+            "ct2": F.col("first.ct"),
+            "sp2": F.col("first.sp"),
+        }
+    measured = motion.measure(neighbours.withColumns(ends), prefix="seam_")
     return measured.groupBy(*keys).agg(
-        *[F.sum(F.col(name) + F.col(f"seam_{name}")).alias(name) for name in measures]
+        *[F.sum(F.col(name) + F.col(f"seam_{name}")).alias(name) for name in motion.measures]
     )
 
 
 def _trip_motion(
-    samples: DataFrame,
-    keys: list[str],
-    measures: list[str],
-    max_group_rows: int | None,
-    stop_speed: float = STOP_SPEED,
-    harsh: float = HARSH_CHANGE,
+    samples: DataFrame, keys: list[str], motion: Motion, max_group_rows: int | None
 ) -> DataFrame:
     def small(rows: DataFrame) -> DataFrame:
-        return with_steps(rows, keys, stop_speed, harsh).groupBy(*keys).agg(*_sums(measures))
+        return with_steps(rows, keys, motion).groupBy(*keys).agg(*_sums(motion.measures))
 
     def large(rows: DataFrame, hot: HotGroups) -> DataFrame:
-        return _tiled_motion(rows, keys, measures, hot.tiles, stop_speed, harsh)
+        return _tiled_motion(rows, keys, motion, hot.tiles)
 
-    samples = samples.withColumns(motion_inputs())
-    return by_group_size(samples, keys, small, large, max_group_rows)
+    return by_group_size(motion.inputs(samples), keys, small, large, max_group_rows)
 
 
 def trip_distance(
     samples: DataFrame, keys: list[str], max_group_rows: int | None = None
 ) -> DataFrame:
     """Path length of each trip in whole metres."""
-    motion = _trip_motion(samples, keys, [DISTANCE], max_group_rows)
-    return motion.select(*keys, whole(F.col(DISTANCE)).alias("total_distance"))
+    paths = _trip_motion(samples, keys, Motion(events=False), max_group_rows)
+    return paths.select(*keys, whole(F.col(DISTANCE)).alias("total_distance"))
 
 
 def driving_events(
@@ -172,7 +185,8 @@ def driving_events(
 
     Only `ct` and `sp` decide; positions merely break ties in the order.
     """
-    return _trip_motion(samples, keys, EVENT_COUNTS, max_group_rows, stop_speed, harsh)
+    motion = Motion(distance=False, stop_speed=stop_speed, harsh=harsh)
+    return _trip_motion(samples, keys, motion, max_group_rows)
 
 
 def attach_events(trips: DataFrame, events: DataFrame, keys: list[str]) -> DataFrame:
@@ -187,34 +201,35 @@ def trip_rows(samples: DataFrame, grain: Grain, max_group_rows: int | None = Non
     `attach_events` would.
     """
     keys = grain.trip_keys
-    measures = [DISTANCE] + (EVENT_COUNTS if grain.has_events else [])
+    motion = Motion(events=grain.has_events)
 
     def small(rows: DataFrame) -> DataFrame:
         # One row per trip, user and vehicle, then one per trip: both reuse the partitioning of
         # the window, and the sets hold no more than a group's row limit.
         pairs = (
-            with_steps(rows, keys, STOP_SPEED, HARSH_CHANGE)
+            with_steps(rows, keys, motion)
             .groupBy(*keys, "user_id", "vehicle_id")
             .agg(
                 F.count("ct").alias("total_driving_time"),
-                *_sums(measures),
+                *_sums(motion.measures),
             )
         )
         return pairs.groupBy(*keys).agg(
             F.size(F.collect_set("user_id")).cast("long").alias("user_count"),
             F.size(F.collect_set("vehicle_id")).cast("long").alias("vehicle_count"),
             F.sum("total_driving_time").alias("total_driving_time"),
-            *_sums(measures),
+            *_sums(motion.measures),
         )
 
     def large(rows: DataFrame, hot: HotGroups) -> DataFrame:
         # Each hot trip has one row of counts and one of motion; `max` puts the two together.
         counts = trip_agg(rows, keys).drop("size_of_latitude")
-        motion = _tiled_motion(rows, keys, measures, hot.tiles, STOP_SPEED, HARSH_CHANGE)
-        halves = counts.unionByName(motion, allowMissingColumns=True)
+        moved = _tiled_motion(rows, keys, motion, hot.tiles)
+        halves = counts.unionByName(moved, allowMissingColumns=True)
         values = [column for column in halves.columns if column not in keys]
         return halves.groupBy(*keys).agg(*[F.max(value).alias(value) for value in values])
 
-    samples = samples.withColumns(motion_inputs())
-    trips = by_group_size(samples, keys, small, large, max_group_rows, grain.has_events)
+    trips = by_group_size(
+        motion.inputs(samples), keys, small, large, max_group_rows, grain.has_events
+    )
     return trips.withColumn("total_distance", whole(F.col(DISTANCE))).drop(DISTANCE)

@@ -19,8 +19,10 @@ COMPUTED_TYPES = {
 }
 
 # The order of samples inside a trip. `ct` is the recorded ordinal; the rest only breaks ties, so
-# that an answer never depends on how the input happened to be laid out.
-SAMPLE_ORDER = ["ct", "ts", "latitude", "longitude", "sp"]
+# that an answer never depends on how the input happened to be laid out. Speed makes no difference
+# to a path, which lets distances do without that column.
+PATH_ORDER = ["ct", "ts", "latitude", "longitude"]
+SAMPLE_ORDER = [*PATH_ORDER, "sp"]
 
 EVENT_COUNTS = [
     "total_sudden_start_count",
