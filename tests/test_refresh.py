@@ -1,5 +1,7 @@
+import shutil
 import uuid
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +108,16 @@ def test_unregistered_partitions_are_found_again(spark, target):
     assert len(partitions(spark, table)) == spark.table(table).count() == 4
 
 
+def test_full_load_lost_before_writing_is_done_again(spark, target):
+    path, table = target
+    refresh(silver(spark, [sample()]), DAY, path, table)
+    shutil.rmtree(path)
+    Path(path).mkdir()
+    assert watermark_of(spark, path, DAY) is None
+    assert refresh(silver(spark, [sample()]), DAY, path, table) == FULL_LOAD
+    assert spark.table(table).count() == 1
+
+
 def test_month_with_unknown_dates(spark, target):
     path, table = target
     unknown = silver(spark, [sample(ts=None)]).withColumns(

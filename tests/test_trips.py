@@ -211,3 +211,20 @@ def test_join_drops_null_keys(spark):
     keys = DAY.trip_keys
     joined = attach_events(trip_agg(samples, keys), driving_events(samples, keys), keys)
     assert [row["trip_id"] for row in joined.collect()] == ["a"]
+
+
+def test_join_reuses_the_partitioning_of_both_sides(spark):
+    samples = with_bucket(frame(spark, [sample()]), HOUR)
+    keys = HOUR.trip_keys
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips, events = trip_agg(samples, keys), driving_events(samples, keys)
+        plans = [
+            df._jdf.queryExecution().executedPlan().toString()
+            for df in (attach_events(trips, events, keys), trips, events)
+        ]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [plan.count("Exchange hashpartitioning") for plan in plans]
+    assert "SortMergeJoin" in plans[0] and shuffles[0] == shuffles[1] + shuffles[2]

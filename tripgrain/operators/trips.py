@@ -31,12 +31,14 @@ def trip_agg(samples: DataFrame, keys: list[str]) -> DataFrame:
     pairs = samples.groupBy(*keys, "user_id", "vehicle_id").agg(
         F.count("ct").alias("seconds"), F.count("latitude").alias("latitudes")
     )
-    return pairs.groupBy(*keys).agg(
+    trips = pairs.groupBy(*reversed(keys)).agg(
         F.count_distinct("user_id").alias("user_count"),
         F.count_distinct("vehicle_id").alias("vehicle_count"),
         F.sum("seconds").alias("total_driving_time"),
         F.sum("latitudes").cast("int").alias("size_of_latitude"),
     )
+    # Grouped in the key order of `ordered_samples`, so that a join with events need not shuffle.
+    return trips.select(*keys, *trips.columns[len(keys) :])
 
 
 @dataclass(frozen=True)
@@ -117,7 +119,8 @@ def _tiled_motion(
     )
     sample = F.struct(*motion.order)
     located = F.when(F.col("latitude").isNotNull(), sample)
-    pieces = stepped.groupBy(*keys, "tile").agg(
+    # Grouped in the key order of the window, whose sort then serves this aggregation as well.
+    pieces = stepped.groupBy("tile", *reversed(keys)).agg(
         *_sums(motion.measures),
         F.min(sample).alias("first"),
         F.max(sample).alias("last"),

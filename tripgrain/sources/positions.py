@@ -71,5 +71,11 @@ def latest_partition_sql(table: DataFrame, grain: Grain) -> DataFrame:
 
 
 def watermark_of(spark: SparkSession, path: str, grain: Grain) -> datetime | None:
-    """Start time of the latest partition in a gold table; None if it has no dated row."""
-    return latest_partition(spark.read.parquet(path), grain).first()["latest_ts"]
+    """Start time of the latest partition in a gold table; None if it has no dated row.
+
+    Only partition columns are asked for, so no data column is read, and a directory left empty
+    by a lost full load is an empty table.
+    """
+    partitions = ", ".join(f"{part} int" for part in grain.partitions)
+    gold = spark.read.schema(partitions).parquet(path)
+    return latest_partition(gold, grain).first()["latest_ts"]
