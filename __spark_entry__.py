@@ -137,9 +137,10 @@ def trips(grain: Grain) -> Query:
 
 
 def _render(traces: DataFrame, keys: list[str]) -> DataFrame:
-    text = F.transform(
-        "trace", lambda s: F.concat(s["ct"].cast("string"), F.lit(":"), s["latitude"].cast("string"))
-    )
+    def shown(sample):
+        return F.concat(sample["ct"].cast("string"), F.lit(":"), sample["latitude"].cast("string"))
+
+    text = F.transform("trace", shown)
     return traces.select(
         *keys,
         F.col("piece").cast("long").alias("piece"),
@@ -383,7 +384,7 @@ def _ctes(grain: Grain) -> str:
                count(distinct user_id) as user_count,
                count(distinct vehicle_id) as vehicle_count,
                count(ct) as total_driving_time,
-               cast(count(latitude) as int) as size_of_latitude,
+               count(latitude) as size_of_latitude,
                cast(round(sum(metres)) as bigint) as total_distance,
                count(*) filter (sp1 <= 5 and change >= 10) as total_sudden_start_count,
                count(*) filter (sp <= 5 and change <= -10) as total_sudden_stop_count,

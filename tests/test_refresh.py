@@ -69,7 +69,11 @@ def test_incremental_without_history_is_a_full_load(spark, target):
 @pytest.mark.parametrize("grain", GRAINS.values(), ids=GRAINS)
 def test_two_loads_equal_one(spark, target, grain):
     path, table = target
-    days = [sample(trip=t, ts=START + timedelta(days=20 * n, hours=n), ct=n) for n in range(6) for t in "ab"]
+    days = [
+        sample(trip=trip, ts=START + timedelta(days=20 * n, hours=n), ct=n)
+        for n in range(6)
+        for trip in "ab"
+    ]
     early, everything = silver(spark, days[:6]), silver(spark, days)
     assert refresh(early, grain, path, table, FULL_LOAD) == FULL_LOAD
     assert refresh(everything, grain, path, table) == INCREMENTAL

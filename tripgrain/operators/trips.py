@@ -35,7 +35,7 @@ def trip_agg(samples: DataFrame, keys: list[str]) -> DataFrame:
         F.count_distinct("user_id").alias("user_count"),
         F.count_distinct("vehicle_id").alias("vehicle_count"),
         F.sum("seconds").alias("total_driving_time"),
-        F.sum("latitudes").cast("int").alias("size_of_latitude"),
+        F.sum("latitudes").alias("size_of_latitude"),
     )
     # Grouped in the key order of `ordered_samples`, so that a join with events need not shuffle.
     return trips.select(*keys, *trips.columns[len(keys) :])

@@ -27,7 +27,7 @@ def _write(table: DataFrame, partitions: Sequence[str], path: str, mode: str) ->
 
 
 def write_partitioned(table: DataFrame, partitions: Sequence[str], path: str, mode: str) -> None:
-    """Partitioned Parquet of any size: `rebalance` merges small partitions and splits large ones."""
+    """Partitioned Parquet of any size: `rebalance` merges small and splits large partitions."""
     _write(table.hint("rebalance", *partitions), partitions, path, mode)
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tripgrain.schema import POSITION_COLUMNS
 
 
-def _as_positions(rows: DataFrame, user: Column, ts: Column, number: Column, sp: Column):
+def _as_positions(
+    rows: DataFrame, user: Column, ts: Column, number: Column, sp: Column
+) -> DataFrame:
     return rows.select(
         (user % 4).alias("trip_id"),
         user.alias("user_id"),
