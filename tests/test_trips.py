@@ -45,6 +45,9 @@ def test_distance_of_known_paths(spark, limit):
     assert distance(spark, bridged, limit) == 111_195
     half_known = [sample(ct=0), sample(ct=1, lat=80.0, lon=None), sample(ct=2, lat=36.0)]
     assert distance(spark, half_known, limit) == 111_195
+    for odd in (float("nan"), float("inf")):
+        odd_one = [sample(ct=0), sample(ct=1, lat=odd), sample(ct=2, lat=36.0)]
+        assert distance(spark, odd_one, limit) == 111_195
     assert distance(spark, [sample(lat=None, lon=None, ct=n) for n in range(3)], limit) == 0
     there_and_back = [sample(ct=n, lat=35.0 + n % 2) for n in (2, 0, 1)]
     assert distance(spark, there_and_back, limit) == 222_390
@@ -63,6 +66,7 @@ def test_events_at_and_below_each_threshold(spark, limit):
         "deceleration below": (15.0, 5.01, (0, 0, 0, 0)),
         "rounded up to the threshold": (5.0, 14.996, (1, 0, 0, 0)),
         "unknown": (None, 80.0, (0, 0, 0, 0)),
+        "not a number": (0.0, float("nan"), (0, 0, 0, 0)),
     }
     samples = [
         sample(trip=trip, ct=ct, sp=sp)

@@ -27,13 +27,24 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.when(unknown, 0.0).otherwise(metres)
 
 
+def finite(value: Column) -> Column:
+    """True for an ordinary number; not for NaN, which sorts above infinity."""
+    return F.abs(value) < F.lit(float("inf"))
+
+
 def motion_inputs() -> dict[str, Column]:
-    """Coordinates that are known or unknown as a pair, and speed in two decimals."""
-    latitude, longitude = F.col("latitude"), F.col("longitude")
+    """Coordinates that are known or unknown as a pair, and speed in two decimals.
+
+    What is not a finite number is unknown.
+    """
+    latitude, longitude, sp = (
+        F.col(name).cast("double") for name in ("latitude", "longitude", "sp")
+    )
+    located = finite(latitude) & finite(longitude)
     return {
-        "latitude": F.when(longitude.isNotNull(), latitude),
-        "longitude": F.when(latitude.isNotNull(), longitude),
-        "sp": F.round("sp", 2),
+        "latitude": F.when(located, latitude),
+        "longitude": F.when(located, longitude),
+        "sp": F.when(finite(sp), F.round(sp, 2)),
     }
 
 
