@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from datetime import datetime
@@ -289,6 +290,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return stats(HOUR)(spark, "/root/testdata/sf0.001")
 
 
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators and their pipeline; none where they are not there."""
+    try:
+        from tripgrain.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as missing:
+        if not str(missing.name).startswith("tripgrain.llm"):
+            raise
+        return {}, {}
+    named, oracles = dict(QUERIES), dict(ORACLES)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        named["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return named, oracles
+
+
 def queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "scan_full": scan_full,
@@ -328,7 +347,7 @@ def queries() -> dict[str, Query]:
         if grain.has_events:
             named[f"driving_events_{grain.name}"] = events(grain)
             named[f"attach_events_{grain.name}"] = trips_with_events(grain)
-    return named
+    return named | _corpus()[0]
 
 
 # --- the same in SQL ---------------------------------------------------------------------------
@@ -525,4 +544,4 @@ def oracle_sql() -> dict[str, str]:
                 f"attach_events_{name}": f"""{ctes}
                     select {keys}, {trip_columns}, {counts} from trips""",
             }
-    return named
+    return named | _corpus()[1]

@@ -13,8 +13,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as registered  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = registered.queries()
-ORACLES = registered.oracle_sql()
+CORPUS = registered._corpus()[0]
+QUERIES = {name: query for name, query in registered.queries().items() if name not in CORPUS}
+ORACLES = {name: sql for name, sql in registered.oracle_sql().items() if name not in CORPUS}
 
 
 @pytest.fixture(scope="module")
