@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tripgrain.llm.byte_bpe import decode_ids, encode_texts
 from tripgrain.llm.columns import table
+from tripgrain.llm.decontaminate import find_contamination, is_contaminated
+from tripgrain.llm.simhash import as_hex, near_duplicates
 from tripgrain.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,24 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(documents, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(documents, public_tokenizers.path("word_bpe_49k.json"))
@@ -42,6 +62,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_simhash": op3_simhash,
+    "op5_decontamination": op5_decontamination,
     "op9_token_counts": op9_token_counts,
 }
 
