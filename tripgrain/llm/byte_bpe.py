@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 from tripgrain.llm.columns import bounded_broadcast, whole_text, with_results
 from tripgrain.llm.pretokens import splitter
 
-MAX_CACHED_PIECES = 1_000_000
-MAX_CACHED_SEAMS = 1_000_000
+# What a worker remembers at most; beyond that it starts anew.
+MAX_CACHED_PIECES = 500_000
+MAX_CACHED_SEAMS = 500_000
+# Pairs of ids as one number; candidates where no token of three bytes or more ends.
+SEAM_BASE, SHORT = 1 << 32, (2, 1)
 
 
 def read_ranks(payload: bytes) -> dict[bytes, int]:
@@ -50,6 +53,8 @@ class PrefixEncoder:
             parts = tuple(self._merged_before(token))
             if len(parts) <= 2:
                 self.halves[token] = parts
+        self.ids = {token: ranks[token] for token in self.halves}
+        self.token_of = {rank: token for token, rank in self.ids.items()}
         self.longest = max(map(len, self.halves))
         # The lengths of the tokens that end in three given bytes, the longest first.
         lengths: dict[bytes, set[int]] = {}
@@ -59,9 +64,9 @@ class PrefixEncoder:
         self.lengths = {
             ending: (*sorted(found, reverse=True), 2, 1) for ending, found in lengths.items()
         }
-        self._seams: dict[tuple[bytes, bytes], bool] = {}
+        self._seams: dict[int, bool] = {}
 
-    def merged(self, data: bytes) -> list[bytes]:
+    def merged(self, data: bytes) -> list[int]:
         """The encoding by the plain rule: merge the adjacent pair of lowest rank, repeatedly."""
         parts = [data[i : i + 1] for i in range(len(data))]
         ranks = self.ranks
@@ -72,7 +77,7 @@ class PrefixEncoder:
             if rank == 1 << 60:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return [ranks[part] for part in parts]
 
     def _merged_before(self, token: bytes) -> list[bytes]:
         """The encoding of a token's bytes by the ranks below its own."""
@@ -111,36 +116,36 @@ class PrefixEncoder:
                 undone = right_rank + 1
                 right = self.halves[right][0]
 
-    def _stable(self, pair: tuple[bytes, bytes]) -> bool:
+    def _stable(self, seam: int) -> bool:
         if len(self._seams) >= MAX_CACHED_SEAMS:
             self._seams.clear()
-        known = self._seams[pair] = self._seam_holds(*pair)
+        left, right = divmod(seam, SEAM_BASE)
+        known = self._seams[seam] = self._seam_holds(self.token_of[left], self.token_of[right])
         return known
 
-    def extend(
-        self, data: bytes, last: list[bytes], until: int | None = None
-    ) -> list[bytes]:
+    def extend(self, data: bytes, last: list[int], until: int | None = None) -> list[int]:
         """Complete the table of last tokens of `data`, of which `last` covers a prefix."""
-        tokens, seams, lengths = self.halves, self._seams, self.lengths
+        id_of, seams, lengths = self.ids.get, self._seams, self.lengths
         for end in range(len(last) + 1, (until or len(data)) + 1):
-            for length in lengths.get(data[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+            for length in lengths.get(data[end - 3 : end], SHORT) if end > 2 else SHORT:
                 start = end - length
                 if start < 0:
                     continue
-                token = data[start:end]
-                if token in tokens:
-                    if not start:
-                        break
-                    pair = (last[start - 1], token)
-                    stable = seams.get(pair)
-                    if stable or (stable is None and self._stable(pair)):
-                        break
+                token = id_of(data[start:end])
+                if token is None:
+                    continue
+                if not start:
+                    break
+                seam = last[start - 1] * SEAM_BASE + token
+                stable = seams.get(seam)
+                if stable or (stable is None and self._stable(seam)):
+                    break
             last.append(token)
         return last
 
     def replace(
-        self, data: bytes, last: list[bytes], start: int, end: int, new: bytes
-    ) -> tuple[bytes, list[bytes]]:
+        self, data: bytes, last: list[int], start: int, end: int, new: bytes
+    ) -> tuple[bytes, list[int]]:
         """The text and table after `data[start:end]` became `new`.
 
         An entry depends on the bytes and entries of one longest token before it, so as soon as
@@ -156,16 +161,16 @@ class PrefixEncoder:
                 return edited, table + last[old + 1 :]
         return edited, table
 
-    def tokens(self, last: list[bytes]) -> list[bytes]:
+    def tokens(self, last: list[int]) -> list[int]:
         """The encoding that a table of last tokens stands for."""
         found, end = [], len(last)
         while end:
             found.append(last[end - 1])
-            end -= len(found[-1])
+            end -= len(self.token_of[found[-1]])
         return found[::-1]
 
     def encode(self, data: bytes) -> list[int]:
-        return [self.ranks[token] for token in self.tokens(self.extend(data, []))]
+        return self.tokens(self.extend(data, []))
 
 
 class PieceIds(dict):
@@ -207,8 +212,8 @@ def encoded(spark: SparkSession, text: Column, ranks_path: str, pattern: str) ->
     def encode_batch(texts: pa.Array) -> pa.Array:
         ids_of, split = _piece_ids(shared.value).__getitem__, splitter(pattern)
         rows = [
-            np.fromiter(chain.from_iterable(map(ids_of, split(text))), np.int32)
-            for text in texts.to_pylist()
+            np.fromiter(chain.from_iterable(map(ids_of, split(text.as_py()))), np.int32)
+            for text in texts
         ]
         offsets = np.zeros(len(rows) + 1, np.int32)
         np.cumsum([len(row) for row in rows], out=offsets[1:])
@@ -224,8 +229,10 @@ def decoded(spark: SparkSession, ids: Column, ranks_path: str) -> Column:
 
     def decode_batch(rows: pa.Array) -> pa.Array:
         bytes_of = _bytes_of_ids(shared.value).__getitem__
+        # One row at a time becomes Python numbers, which take ten times the room.
         return pa.array(
-            [b"".join(map(bytes_of, row)) for row in rows.to_pylist()], type=pa.binary()
+            (b"".join(map(bytes_of, row.values.to_numpy().tolist())) for row in rows),
+            type=pa.binary(),
         )
 
     return F.arrow_udf(decode_batch, "binary")(F.coalesce(ids, F.array().cast("array<int>")))

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripgrain.llm import fingerprints
 from tripgrain.llm.byte_bpe import decode_ids, encode_texts
 from tripgrain.llm.columns import table
 from tripgrain.llm.decontaminate import find_contamination, is_contaminated
+from tripgrain.llm.fingerprints import edited_neighbours, likeness
 from tripgrain.llm.simhash import as_hex, near_duplicates
 from tripgrain.llm.token_counts import count_tokens
 
@@ -49,6 +51,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    compared = edited_neighbours(documents)
+    return compared.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_hex(F.col("packed")).alias("fingerprint"),
+        fingerprints.as_hex(F.col("packed_edited")).alias("edited_fingerprint"),
+        likeness(F.col("packed"), F.col("packed_edited")).alias("near_edited"),
+        likeness(F.col("packed"), F.col("packed_next")).alias("near_next"),
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(documents, public_tokenizers.path("word_bpe_49k.json"))
@@ -64,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
+    "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
 }
 
