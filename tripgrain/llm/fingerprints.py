@@ -86,7 +86,9 @@ def _densified(bins: Column, filled: Column) -> Column:
         nearest = F.array_min(
             F.transform(filled, lambda other: F.struct(F.xxhash64(place, other).alias("rank"), other.alias("place")))
         )
-        return F.coalesce(value, *probes, F.get(bins, nearest["place"]))
+        borrowed = F.coalesce(*probes, F.get(bins, nearest["place"]))
+        # Mixed with the borrower's number, so that one chance agreement is not borrowed by all.
+        return F.coalesce(value, F.when(borrowed.isNotNull(), F.xxhash64(borrowed, place)))
 
     return F.transform(bins, value_of)
 

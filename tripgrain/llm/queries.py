@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgrain.llm import fingerprints
@@ -13,8 +13,11 @@ from tripgrain.llm.byte_bpe import decode_ids, encode_texts
 from tripgrain.llm.columns import table
 from tripgrain.llm.decontaminate import find_contamination, is_contaminated
 from tripgrain.llm.fingerprints import edited_neighbours, likeness
+from tripgrain.llm.html_text import extract_text
+from tripgrain.llm.quality import fit_quality, grade_documents
 from tripgrain.llm.simhash import as_hex, near_duplicates
 from tripgrain.llm.token_counts import count_tokens
+from tripgrain.llm.toxicity import fit_toxicity, score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +41,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = extract_text(table(spark, sf_dir, "pages"))
+    return extracted.select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(documents, table(spark, sf_dir, "benchmark"))
@@ -51,6 +61,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(documents, table(spark, sf_dir, "labels"))
+    return grade_documents(documents, model).drop("text")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     compared = edited_neighbours(documents)
@@ -76,12 +92,31 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+
+    def is_held_out(doc_id: str) -> Column:
+        return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+    model = fit_toxicity(documents, labels.filter(~is_held_out("doc_id")))
+    return score_documents(documents, model).select(
+        "doc_id",
+        is_held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash": op3_simhash,
+    "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
+    "op7_quality": op7_quality,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
