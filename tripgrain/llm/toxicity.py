@@ -119,37 +119,53 @@ def _fragments(word: str) -> set[str]:
 def choose_landmarks(documents: list[list[str]], toxic: np.ndarray) -> list[str]:
     """Words, word starts and word ends that single out toxic documents, and frequent other ones.
 
-    Each next landmark is the one in most toxic documents that no earlier one is in, after taking
-    off those of other documents.
+    A piece is wanted if it is in so many toxic documents, after taking off those of other
+    documents, that chance would not give one such piece among all. Of pieces that contain each
+    other the one in the most documents is taken, the longest among equals.
     """
     pieces_of: dict[str, set[str]] = {}
-    holders: dict[str, set[int]] = defaultdict(set)
+    holders: Counter = Counter()
     plain: Counter = Counter()
-    for at in np.flatnonzero(toxic).tolist():
-        for word in documents[at]:
-            for piece in pieces_of.setdefault(word, _fragments(word)):
-                holders[piece].add(at)
-    holders = {piece: found for piece, found in holders.items() if len(found) >= 2}
-    for at in np.flatnonzero(~toxic).tolist():
+    for words, found in zip(documents, (holders if mark else plain for mark in toxic)):
         seen: set[str] = set()
-        for word in documents[at]:
-            seen |= pieces_of.get(word) or _fragments(word)
-        plain.update(seen)
+        for word in words:
+            pieces = pieces_of.get(word)
+            if pieces is None:
+                pieces = _fragments(word)
+                if found is holders:
+                    pieces_of[word] = pieces
+            seen |= pieces
+        found.update(seen)
+    least = max(2.0, np.log(max(2, len(holders))) / -np.log(min(0.5, toxic.mean())))
+    gains = {piece: times - 3 * plain[piece] for piece, times in holders.items()}
+    wanted = [piece for piece, gain in gains.items() if gain >= least]
+    wanted.sort(key=lambda piece: (-gains[piece], -len(piece), piece))
     chosen: list[str] = []
-    gain = {piece: len(found) - 3 * plain[piece] for piece, found in holders.items()}
-    left = {piece: found for piece, found in holders.items() if gain[piece] > 1}
-    covered: set[int] = set()
-    while left and len(chosen) < MAX_LANDMARKS:
-        best = max(left, key=lambda p: (len(left[p] - covered) - 3 * plain[p], len(p) * -1, p))
-        if len(left[best] - covered) - 3 * plain[best] < 2:
-            break
-        covered |= left.pop(best)
-        chosen.append(best)
-        left = {piece: found for piece, found in left.items() if found - covered}
+    for piece in wanted:
+        if len(chosen) < MAX_LANDMARKS and not _alike(piece, chosen):
+            chosen.append(piece)
     usual = sorted(plain, key=lambda piece: (-plain[piece], piece))
     return chosen + [piece for piece in usual if piece not in chosen][:PLAIN_LANDMARKS]
 
 
+def _alike(piece: str, chosen: list[str]) -> bool:
+    """True if a chosen piece is part of this one, or shares most of its letters in a row."""
+    shared = max(LETTERS, len(piece) - 2)
+    runs = [piece[at : at + shared] for at in range(max(1, len(piece) - shared + 1))]
+    return any(other in piece or any(run in other for run in runs) for other in chosen)
+
+
+def _stretched(word: str) -> list[str]:
+    """The word with a foreign letter inserted, once at each inner place and once at two."""
+    once = [f"{word[:at]}\x01{word[at:]}" for at in range(1, len(word))]
+    return [*once, *(f"{part[:-2]}\x01{part[-2:]}" for part in once if len(word) > 5)]
+
+
+def _core(word: str, landmarks: list[str]) -> str:
+    """The part of a word that is a landmark, or all of it."""
+    return max((mark for mark in landmarks if mark in word), key=len, default=word)
+
+
 @dataclass
 class ToxicityModel:
     """Weights of subsequences by first letter, and the curve from margin to probability."""
@@ -244,6 +260,7 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
     # The last row is a word without anything in common with a landmark; every document has it.
     embedded = np.vstack([embedded, np.zeros(embedded.shape[1])])
     rows = np.hstack([embedded, np.ones((len(embedded), 1))])
+    word_of = {at: word for word, at in place.items()}
     members, counts = np.array(members, np.int64), np.array(counts)
     bounds = np.cumsum(counts) - counts
     signs = np.where(toxic, 1.0, -1.0)
@@ -258,7 +275,21 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
             for low, n in zip(bounds, counts)
         ]
         worst = [at if at >= 0 and margins[at] > margins[-1] else -1 for at in worst]
-        weights = _hinge(rows[worst], signs, np.zeros_like(seed))
+        # What the toxic documents were chosen for also is learned with letters inserted.
+        named = {at for at, mark in zip(worst, toxic) if mark and at >= 0}
+        variants = [
+            landmarks.kernels(variant)
+            for at in sorted(named)
+            for piece in [word_of[at]]
+            for variant in _stretched(_core(piece, landmarks.strings))
+        ]
+        extra = np.array(variants).reshape(-1, len(landmarks.strings)) @ landmarks.whitening
+        extra = np.hstack([extra, np.ones((len(extra), 1))])
+        weights = _hinge(
+            np.vstack([rows[worst], extra]),
+            np.concatenate([signs, np.ones(len(extra))]),
+            np.zeros_like(seed),
+        )
     margins = rows @ weights
     tops = np.array(
         [
