@@ -14,6 +14,7 @@ from tripgrain.llm.columns import table
 from tripgrain.llm.decontaminate import find_contamination, is_contaminated
 from tripgrain.llm.fingerprints import edited_neighbours, likeness
 from tripgrain.llm.html_text import extract_text
+from tripgrain.llm.licenses import scan_licenses
 from tripgrain.llm.quality import fit_quality, grade_documents
 from tripgrain.llm.simhash import as_hex, near_duplicates
 from tripgrain.llm.token_counts import count_tokens
@@ -36,6 +37,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of the documents, as files `source/lang/doc_id`."""
+    documents = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    scanned = scan_licenses(documents.select("doc_id", path.alias("path"), "text"))
+    return scanned.drop("text")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -110,6 +119,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_licenses": op2_licenses,
     "op3_simhash": op3_simhash,
     "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
