@@ -17,6 +17,7 @@ from tripgrain.llm.html_text import extract_text
 from tripgrain.llm.licenses import scan_licenses
 from tripgrain.llm.quality import fit_quality, grade_documents
 from tripgrain.llm.simhash import as_hex, near_duplicates
+from tripgrain.llm.suffix_index import remove_repeats
 from tripgrain.llm.token_counts import count_tokens
 from tripgrain.llm.toxicity import fit_toxicity, score_documents
 
@@ -70,6 +71,22 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.reduce(
+        "spans",
+        F.lit(0).cast("bigint"),
+        lambda total, span: total + (span["end"] - span["start"]),
+    )
+    return remove_repeats(documents).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(documents, table(spark, sf_dir, "labels"))
@@ -123,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality": op7_quality,
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
