@@ -26,9 +26,16 @@ def test_the_named_folder_is_used():
 def test_a_cluster_needs_a_named_folder():
     with pytest.raises(RuntimeError):
         checkpoint_dir(session("yarn"))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(session("local-cluster[2,1,1024]"))
     assert checkpoint_dir(session("yarn", current="hdfs:///set")) == "hdfs:///set"
 
 
+def test_scratch_and_checkpoints_share_a_folder():
+    spark = session("yarn", named="hdfs:///named", current="hdfs:///set")
+    assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir() == "hdfs:///set"
+
+
 def test_local_mode_makes_its_own():
     spark = session("local[2]")
     assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
