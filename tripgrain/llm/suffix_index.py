@@ -430,6 +430,16 @@ def _kept(text: Column, spans: Column) -> Column:
     return F.arrow_udf(cut_batch, KEPT)(text.cast("binary"), spans)
 
 
+def readable(kept: Column) -> Column:
+    """Kept bytes as text; what is left of a character that was cut in two goes."""
+
+    def read_batch(contents: pa.Array) -> pa.Array:
+        texts = [content.as_py().decode("utf-8", "ignore") for content in contents]
+        return pa.array(texts, type=pa.string())
+
+    return F.arrow_udf(read_batch, "string")(kept)
+
+
 def remove_repeats(
     documents: DataFrame, text: str = "text", min_bytes: int = MIN_BYTES, batches: int = BATCHES
 ) -> DataFrame:
