@@ -22,9 +22,9 @@ from tripgrain.functions.timestamps import (  # noqa: E402
     year_month,
 )
 from tripgrain.operators.rollup import bucket_rollup  # noqa: E402
-from tripgrain.operators.skew import MAX_GROUP_ROWS  # noqa: E402
 from tripgrain.operators.traces import ordered_trace  # noqa: E402
 from tripgrain.operators.trips import (  # noqa: E402
+    Motion,
     attach_events,
     driving_events,
     trip_agg,
@@ -76,9 +76,8 @@ def _samples(spark: SparkSession, sf_dir: str, grain: Grain) -> DataFrame:
     return position_samples(_positions(spark, sf_dir, grain), grain)
 
 
-def _hot_limit(samples: DataFrame) -> int:
-    """A row limit that part of the groups exceed, to run the split and the plain path at once."""
-    return max(1, min(samples.count() // 128, MAX_GROUP_ROWS))
+# Groups above this many rows are split in the `_hot_groups` queries.
+HOT_ROWS = 80
 
 
 # --- queries -----------------------------------------------------------------------------------
@@ -159,7 +158,7 @@ def traces(grain: Grain) -> Query:
 def traces_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = _samples(spark, sf_dir, DAY)
     pieces = ordered_trace(
-        samples, DAY.trip_keys, piece_rows=50, max_group_rows=_hot_limit(samples)
+        samples, DAY.trip_keys, piece_rows=50, max_group_rows=HOT_ROWS
     )
     return _render(pieces, DAY.trip_keys)
 
@@ -170,7 +169,7 @@ def distances(grain: Grain) -> Query:
 
 def distances_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = _samples(spark, sf_dir, DAY)
-    return trip_distance(samples, DAY.trip_keys, max_group_rows=_hot_limit(samples))
+    return trip_distance(samples, DAY.trip_keys, max_group_rows=HOT_ROWS)
 
 
 def events(grain: Grain) -> Query:
@@ -179,7 +178,7 @@ def events(grain: Grain) -> Query:
 
 def events_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = _samples(spark, sf_dir, DAY)
-    return driving_events(samples, DAY.trip_keys, max_group_rows=_hot_limit(samples))
+    return driving_events(samples, DAY.trip_keys, max_group_rows=HOT_ROWS)
 
 
 def trips_with_events(grain: Grain) -> Query:
@@ -210,8 +209,25 @@ def stats(grain: Grain) -> Query:
 
 
 def daily_stat_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driving_stat(event_positions(spark, sf_dir), DAY, max_group_rows=HOT_ROWS)
+
+
+def hourly_stat_text_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as text, the form of the raw samples."""
     positions = event_positions(spark, sf_dir)
-    return driving_stat(positions, DAY, max_group_rows=_hot_limit(positions))
+    return driving_stat(positions.withColumn("ts", F.date_format("ts", TS_FORMAT)), HOUR)
+
+
+def straight_metres(lat1, lon1, lat2, lon2):
+    """Taxicab distance on a plane, as a formula other than ours."""
+    metres = (F.abs(lat2 - lat1) + F.abs(lon2 - lon1)) * 100_000.0
+    return F.coalesce(metres, F.lit(0.0))
+
+
+def daily_stat_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other limits for events and another distance between points."""
+    formulas = Motion(stop_speed=40.0, harsh=3.5, step_distance=straight_metres)
+    return driving_stat(event_positions(spark, sf_dir), DAY, formulas=formulas)
 
 
 def monthly_stat_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +294,65 @@ def refreshed(grain: Grain) -> Query:
     return query
 
 
+def _source_shifted(positions: DataFrame) -> DataFrame:
+    """One sample in five stored a day after it was taken."""
+    arrived = F.when(F.col("ct") % 5 == 0, F.date_add("ts", 1)).otherwise(F.to_date("ts"))
+    return positions.withColumns(
+        {"year": F.year(arrived), "month": F.month(arrived), "day": F.dayofmonth(arrived)}
+    )
+
+
+def _in_gold(spark: SparkSession, runs: Callable[[str, str], None]) -> str:
+    """Run refreshes on a fresh table and drop its entry; returns where it lies."""
+    target = scratch_path(spark, "gold-day")
+    table = target.rsplit("/", 1)[1].replace("-", "_")
+    runs(target, table)
+    spark.sql(f"DROP TABLE {table}")
+    return target
+
+
+def refresh_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples that arrive in a later source partition, refreshed three times."""
+    positions = _source_shifted(event_positions(spark, sf_dir))
+
+    def runs(target, table):
+        for arrived in (_until(positions, DAY), positions, positions):
+            refresh(arrived, DAY, target, table)
+
+    return _written(spark, _in_gold(spark, runs), DAY)
+
+
+def refresh_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late samples of consumed partitions, taken in by starting again from the tenth."""
+    positions = event_positions(spark, sf_dir)
+    in_time = positions.filter(~((F.dayofmonth("ts") >= 10) & (F.col("ct") % 7 == 0)))
+
+    def runs(target, table):
+        refresh(in_time, DAY, target, table)
+        refresh(positions, DAY, target, table, repair_from=datetime(2024, 1, 10))
+
+    return _written(spark, _in_gold(spark, runs), DAY)
+
+
+def load_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each run over the samples did, with the number of days in the table after it."""
+    positions = event_positions(spark, sf_dir)
+    asked = [INCREMENTAL, INCREMENTAL, INCREMENTAL, FULL_LOAD, "X"]
+    found = []
+
+    def runs(target, table):
+        for run, mode in enumerate(asked):
+            arrived = positions if run else _until(positions, DAY)
+            try:
+                ran = refresh(arrived, DAY, target, table, mode) or "NOTHING_NEW"
+            except ValueError:
+                ran = "REFUSED"
+            found.append((run, ran, spark.table(table).count()))
+
+    _in_gold(spark, runs)
+    return spark.createDataFrame(found, "run int, load_type string, days bigint")
+
+
 def scan_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental scan of a table partitioned on disk, where whole directories are skipped."""
     source = scratch_path(spark, "silver")
@@ -322,6 +397,11 @@ def queries() -> dict[str, Query]:
         "hourly_stat": stats(HOUR),
         "daily_stat": stats(DAY),
         "daily_stat_hot_groups": daily_stat_hot_groups,
+        "daily_stat_thresholds": daily_stat_thresholds,
+        "hourly_stat_text_ts": hourly_stat_text_ts,
+        "refresh_shifted_day": refresh_shifted,
+        "refresh_repaired_day": refresh_repaired,
+        "load_modes": load_modes,
         "monthly_stat": stats(MONTH),
         "monthly_stat_collapsed": monthly_stat_collapsed,
         "write_overwrite": write_overwrite,
@@ -372,7 +452,16 @@ ORDER_POSITIONS_SQL = """
     from orders"""
 
 
-def _ctes(grain: Grain) -> str:
+GREAT_CIRCLE_SQL = """2 * 6371000.0 * asin(sqrt(least(1.0,
+                       pow(sin(radians(latitude - lat1) / 2), 2)
+                       + cos(radians(lat1)) * cos(radians(latitude))
+                         * pow(sin(radians(longitude - lon1) / 2), 2))))"""
+STRAIGHT_SQL = "(abs(latitude - lat1) + abs(longitude - lon1)) * 100000.0"
+
+
+def _ctes(
+    grain: Grain, step: str = GREAT_CIRCLE_SQL, stop: str = "5", harsh: str = "10"
+) -> str:
     """Positions, the steps between them, and trips measured by steps."""
     bucket = grain.name
     keys = f"date, {bucket}, trip_id"
@@ -390,12 +479,7 @@ def _ctes(grain: Grain) -> str:
         window w as (partition by {keys} order by ct, ts, latitude, longitude, sp)),
     steps as (
         select *,
-               case when lat1 is null then 0.0 else
-                   2 * 6371000.0 * asin(sqrt(least(1.0,
-                       pow(sin(radians(latitude - lat1) / 2), 2)
-                       + cos(radians(lat1)) * cos(radians(latitude))
-                         * pow(sin(radians(longitude - lon1) / 2), 2))))
-               end as metres,
+               case when lat1 is null then 0.0 else {step} end as metres,
                case when ct > ct1 then (sp - sp1) / (ct - ct1) end as change
         from neighbours),
     trips as (
@@ -405,10 +489,10 @@ def _ctes(grain: Grain) -> str:
                count(ct) as total_driving_time,
                count(latitude) as size_of_latitude,
                cast(round(sum(metres)) as bigint) as total_distance,
-               count(*) filter (sp1 <= 5 and change >= 10) as total_sudden_start_count,
-               count(*) filter (sp <= 5 and change <= -10) as total_sudden_stop_count,
-               count(*) filter (sp1 > 5 and change >= 10) as total_acceleration_count,
-               count(*) filter (sp > 5 and change <= -10) as total_deceleration_count
+               count(*) filter (sp1 <= {stop} and change >= {harsh}) as total_sudden_start_count,
+               count(*) filter (sp <= {stop} and change <= -{harsh}) as total_sudden_stop_count,
+               count(*) filter (sp1 > {stop} and change >= {harsh}) as total_acceleration_count,
+               count(*) filter (sp > {stop} and change <= -{harsh}) as total_deceleration_count
         from steps group by {keys})"""
 
 
@@ -416,8 +500,8 @@ def _sum_list(grain: Grain) -> str:
     return ", ".join(f"cast(sum({total}) as bigint) as {total}" for total in grain.trip_totals)
 
 
-def _rollup_sql(grain: Grain) -> str:
-    return f"""{_ctes(grain)},
+def _rollup_sql(grain: Grain, *formulas: str) -> str:
+    return f"""{_ctes(grain, *formulas)},
     buckets as (
         select date, {grain.name}, count(distinct trip_id) as trip_count, {_sum_list(grain)}
         from trips group by date, {grain.name})"""
@@ -433,7 +517,7 @@ def _average_list(grain: Grain) -> str:
 MINUTES_SQL = "cast(round(total_driving_time / cast(60 as double)) as bigint)"
 
 
-def _stat_sql(grain: Grain) -> str:
+def _stat_sql(grain: Grain, *formulas: str) -> str:
     bucket = grain.name
     extra = {
         "hour": """cast(year(date) as int) as year, cast(month(date) as int) as month,
@@ -444,7 +528,7 @@ def _stat_sql(grain: Grain) -> str:
                     concat(year(date), month(date)) as year_month""",
     }[bucket]
     dated = "* exclude (date)" if grain is MONTH else "*"
-    return f"""{_rollup_sql(grain)},
+    return f"""{_rollup_sql(grain, *formulas)},
     minutes as (
         select * replace ({MINUTES_SQL} as total_driving_time) from buckets)
     select {dated}, {extra}, {_average_list(grain)} from minutes"""
@@ -488,6 +572,19 @@ def oracle_sql() -> dict[str, str]:
         "hourly_stat": _stat_sql(HOUR),
         "daily_stat": whole_day,
         "daily_stat_hot_groups": whole_day,
+        "daily_stat_thresholds": _stat_sql(DAY, STRAIGHT_SQL, "40", "3.5"),
+        "hourly_stat_text_ts": _stat_sql(HOUR),
+        "refresh_shifted_day": whole_day,
+        "refresh_repaired_day": whole_day,
+        "load_modes": f"""
+            with days as (
+                select count(distinct ts::date) as total,
+                       count(distinct ts::date) filter (ts < '2024-01-16') as early
+                from ({EVENT_POSITIONS_SQL}))
+            select cast(run as int) as run, load_type,
+                   case when run = 0 then early else total end as days
+            from days, (values (0, 'FULL_LOAD'), (1, 'INCREMENTAL'), (2, 'NOTHING_NEW'),
+                               (3, 'FULL_LOAD'), (4, 'REFUSED')) as runs(run, load_type)""",
         "monthly_stat": _stat_sql(MONTH),
         "monthly_stat_collapsed": f"""{_ctes(MONTH)},
             months as (

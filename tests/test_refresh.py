@@ -106,8 +106,9 @@ def test_unregistered_partitions_are_found_again(spark, target):
     # A run that wrote its batch and was lost before registering it.
     write_gold(driving_stat(silver(spark, days[1:3]), DAY), DAY, path, INCREMENTAL)
     assert spark.table(table).count() == 1
+    assert refresh(silver(spark, days[:3]), DAY, path, table) == INCREMENTAL
     assert refresh(silver(spark, days[:3]), DAY, path, table) is None
-    assert len(partitions(spark, table)) == 3
+    assert len(partitions(spark, table)) == spark.table(table).count() == 3
     refresh(silver(spark, days), DAY, path, table)
     assert len(partitions(spark, table)) == spark.table(table).count() == 4
 
@@ -130,6 +131,7 @@ def test_month_with_unknown_dates(spark, target):
     refresh(silver(spark, [sample()]), MONTH, path, table)
     gold = driving_stat(unknown, MONTH)
     assert refresh(unknown, MONTH, path, table) == INCREMENTAL
+    assert refresh(unknown, MONTH, path, table) is None
     directory = "__HIVE_DEFAULT_PARTITION__"
     assert partitions(spark, table) == ["year=2024/month=1", f"year={directory}/month={directory}"]
     assert spark.table(table).count() == 2
@@ -137,6 +139,67 @@ def test_month_with_unknown_dates(spark, target):
     assert watermark_of(spark, path, MONTH) == datetime(2024, 1, 1)
 
 
+def source_day(df, day):
+    return df.withColumns({"day": F.lit(day)})
+
+
+def test_samples_in_a_later_source_partition(spark, target):
+    path, table = target
+    first = source_day(silver(spark, [sample(ct=1), sample(trip="b", ct=1)]), 5)
+    late = source_day(silver(spark, [sample(ct=9, lat=36.0), sample(trip="c", ct=3)]), 6)
+    everything = first.unionByName(late)
+    refresh(first, DAY, path, table)
+    expected = ordered(driving_stat(everything, DAY), DAY)
+    assert refresh(everything, DAY, path, table) == INCREMENTAL
+    for _ in range(2):
+        assert refresh(everything, DAY, path, table) is None
+        assert ordered(spark.read.parquet(path), DAY) == ordered(spark.table(table), DAY) == expected
+
+
+def test_a_partly_written_batch_is_completed(spark, target):
+    path, table = target
+    days = [sample(ts=START + timedelta(days=n)) for n in range(4)]
+    refresh(silver(spark, days[:1]), DAY, path, table)
+    write_gold(driving_stat(silver(spark, days[2:3]), DAY), DAY, path, INCREMENTAL)
+    everything = silver(spark, days)
+    assert refresh(everything, DAY, path, table) == INCREMENTAL
+    assert refresh(everything, DAY, path, table) is None
+    assert ordered(spark.table(table), DAY) == ordered(driving_stat(everything, DAY), DAY)
+
+
+def test_written_buckets_are_repaired_on_demand(spark, target):
+    path, table = target
+    days = [sample(ts=START + timedelta(days=n)) for n in range(3)]
+    refresh(silver(spark, days), DAY, path, table)
+    late = silver(spark, [*days, sample(trip="late", ts=START + timedelta(days=1))])
+    assert refresh(late, DAY, path, table) is None
+    again = refresh(late, DAY, path, table, repair_from=START + timedelta(days=1))
+    assert again == INCREMENTAL
+    assert ordered(spark.table(table), DAY) == ordered(driving_stat(late, DAY), DAY)
+    assert refresh(late, DAY, path, table) is None
+
+
+def test_foreign_tables_are_refused(spark, target, tmp_path):
+    path, table = target
+    spark.range(3).write.saveAsTable(table)
+    for load_type in (FULL_LOAD, INCREMENTAL):
+        with pytest.raises(ValueError, match="exists"):
+            refresh(silver(spark, [sample()]), DAY, path, table, load_type)
+    assert spark.table(table).count() == 3 and not Path(path).exists()
+    spark.sql(f"DROP TABLE {table}")
+    refresh(silver(spark, [sample()]), DAY, f"{path}-other", table)
+    with pytest.raises(ValueError, match="exists"):
+        refresh(silver(spark, [sample()]), DAY, path, table, FULL_LOAD)
+
+
+def test_paths_with_quotes(spark, target):
+    path, table = target
+    odd = f"{path} of o'clock"
+    refresh(silver(spark, [sample()]), DAY, odd, table, FULL_LOAD)
+    refresh(silver(spark, [sample()]), DAY, odd, table, FULL_LOAD)
+    assert spark.table(table).count() == 1
+
+
 def test_registration_is_repeatable(spark, target):
     path, table = target
     gold = driving_stat(silver(spark, mixed_samples(rows=200)), HOUR)

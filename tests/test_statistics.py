@@ -112,6 +112,15 @@ def test_plans_shuffle_once_per_level(spark, tmp_path):
         assert ("sp#" in scanned) == (stat is not monthly_stat)
 
 
+def test_text_times_are_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "positions")
+    schema = SCHEMA.replace("timestamp_ntz", "string")
+    frame(spark, [sample(ts="2024-01-05 10:00:00")], schema).write.parquet(path)
+    plan = hourly_stat(spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 2 and plan.count("regexp_extract") == 1
+    assert "isnotnull(trip_id" in plan
+
+
 def test_hot_trips_are_split_without_whole_group_windows(spark):
     samples = [sample(trip="hot", ct=n, ts=START + timedelta(seconds=n)) for n in range(400)]
     split = daily_stat(frame(spark, samples), max_group_rows=50)

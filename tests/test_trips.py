@@ -152,8 +152,8 @@ def test_hot_groups_are_exactly_those_above_the_limit(spark):
     assert skew.find_hot_groups(samples, DAY.trip_keys, max(sizes.values())) is None
 
 
-def test_groups_beyond_the_hot_ones_are_still_processed(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_GROUPS", 2)
+def test_more_hot_groups_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 2)
     samples = with_bucket(frame(spark, mixed_samples()), DAY)
     split = trip_distance(samples, DAY.trip_keys, 1).collect()
     assert sorted(split, key=repr) == sorted(

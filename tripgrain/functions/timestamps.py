@@ -29,9 +29,13 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def with_parsed_ts(df: DataFrame) -> DataFrame:
-    """Parse `ts` where it is text; a timestamp column is left as it is."""
+    """Parse `ts` where it is text; a timestamp column is left as it is.
+
+    The result comes out of a one-row generator, below which no filter on it or on what derives
+    from it is pushed. Otherwise each such filter would carry a parse of its own.
+    """
     if df.schema["ts"].dataType.typeName() in ("string", "varchar", "char"):
-        return df.withColumn("ts", parse_timestamp(F.col("ts")))
+        return df.withColumn("ts", F.explode(F.array(parse_timestamp(F.col("ts")))))
     return df
 
 

@@ -6,9 +6,8 @@ a group far above that (a missing or default trip id) may hold a large share of
 groups are found by an exact count and cut into ordered tiles, which the callers work on
 separately and stitch together. Results are the same either way.
 
-At most `MAX_HOT_GROUPS` groups, the largest ones, count as hot, so that their keys can always be
-broadcast. Any group beyond those has under one in `MAX_HOT_GROUPS` of all rows and is processed
-as an ordinary one.
+Every group above the limit is hot, however many there are, and the number of tiles follows their
+rows. Their keys are broadcast while they are few enough, by count, and joined by shuffle beyond.
 """
 
 from __future__ import annotations
@@ -25,8 +24,8 @@ from tripgrain.durable import cut_lineage
 from tripgrain.schema import SAMPLE_ORDER
 
 MAX_GROUP_ROWS = 1_000_000
-MAX_HOT_GROUPS = 200_000
-MAX_TILES = 20_000
+# Rows of keys that may be broadcast; more of them are joined by shuffle.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def ordered_samples(group: list[str], order: list[str] = SAMPLE_ORDER) -> WindowSpec:
@@ -43,21 +42,25 @@ class HotGroups:
     """The keys of the hot groups, and the number of tiles to cut them into."""
 
     groups: DataFrame
+    count: int
     tiles: int
 
     def select_from(self, samples: DataFrame, keys: list[str], how: str) -> DataFrame:
-        return join_small(samples, self.groups.select(*keys), keys, how)
+        return join_keys(samples, self.groups.select(*keys), keys, how, self.count)
 
 
-def join_small(left: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Broadcast equi-join where NULL keys match, keeping the left names.
+def join_keys(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, rows: int
+) -> DataFrame:
+    """Equi-join where NULL keys match, keeping the left names.
 
-    `small` has one row per hot group, or per tile of one: at most `MAX_HOT_GROUPS` plus
-    `MAX_TILES` rows.
+    `rows` is what `right` has at most; up to `MAX_BROADCAST_ROWS` it is broadcast.
     """
-    small = F.broadcast(small.withColumnsRenamed({key: f"_{key}" for key in keys}))
+    right = right.withColumnsRenamed({key: f"_{key}" for key in keys})
+    if rows <= MAX_BROADCAST_ROWS:
+        right = F.broadcast(right)
     matches = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    return left.join(small, matches, how).drop(*[f"_{key}" for key in keys])
+    return left.join(right, matches, how).drop(*[f"_{key}" for key in keys])
 
 
 def without_null_keys(samples: DataFrame, keys: list[str]) -> DataFrame:
@@ -77,12 +80,11 @@ def find_hot_groups(
     if drop_null_keys:
         samples = without_null_keys(samples, keys)
     sizes = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    largest = sizes.filter(F.col("rows") > max_group_rows).orderBy(F.desc("rows"))
-    groups = cut_lineage(largest.limit(MAX_HOT_GROUPS))
-    hot_rows = groups.agg(F.sum("rows").alias("rows")).first()["rows"]
-    if hot_rows is None:
+    groups = cut_lineage(sizes.filter(F.col("rows") > max_group_rows))
+    found = groups.agg(F.count(F.lit(1)).alias("groups"), F.sum("rows").alias("rows")).first()
+    if not found["groups"]:
         return None
-    return HotGroups(groups, min(-(-hot_rows // max_group_rows), MAX_TILES))
+    return HotGroups(groups, found["groups"], -(-found["rows"] // max_group_rows))
 
 
 def by_group_size(
@@ -101,7 +103,8 @@ def by_group_size(
     if hot is None:
         return small(samples)
     ordinary = hot.select_from(samples, keys, "left_anti")
-    oversized = hot.select_from(samples, keys, "left_semi")
+    # Stored, because `large` reads them more than once.
+    oversized = cut_lineage(hot.select_from(samples, keys, "left_semi"))
     return small(ordinary).unionByName(large(oversized, hot))
 
 

@@ -9,7 +9,7 @@ from tripgrain.durable import cut_lineage
 from tripgrain.operators.skew import (
     HotGroups,
     by_group_size,
-    join_small,
+    join_keys,
     ordered_samples,
     with_tiles,
 )
@@ -56,7 +56,8 @@ def _tiled_trips(
         .withColumn("offset", F.coalesce(F.sum("rows").over(earlier_tiles), F.lit(0)))
         .drop("rows")
     )
-    tiled = join_small(tiled, offsets, [*keys, "tile"], "inner")
+    # A tile is a range, so each boundary adds one row to those of the groups.
+    tiled = join_keys(tiled, offsets, [*keys, "tile"], "inner", hot.count + hot.tiles)
 
     in_order = ordered_samples([*keys, "tile"])
     earlier_rows = in_order.rowsBetween(Window.unboundedPreceding, -1)

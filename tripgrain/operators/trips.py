@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,12 +44,17 @@ def trip_agg(samples: DataFrame, keys: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Motion:
-    """Which measures to take of the steps between samples: the distance, the events or both."""
+    """Which measures to take of the steps between samples, and by which formulas.
+
+    `step_distance` gives the metres between two points (latitude and longitude of both, each
+    NULL where unknown); a step without a known start has to give 0.
+    """
 
     distance: bool = True
     events: bool = True
     stop_speed: float = STOP_SPEED
     harsh: float = HARSH_CHANGE
+    step_distance: Callable[[Column, Column, Column, Column], Column] = haversine_m
 
     @property
     def measures(self) -> list[str]:
@@ -67,7 +73,7 @@ class Motion:
         lat2, lon2, ct2, sp2 = (F.col(name) for name in ("lat2", "lon2", "ct2", "sp2"))
         measures = {}
         if self.distance:
-            measures[DISTANCE] = haversine_m(lat1, lon1, lat2, lon2)
+            measures[DISTANCE] = self.step_distance(lat1, lon1, lat2, lon2)
         if self.events:
             # A column of its own, so that the four flags share it.
             steps = steps.withColumn("change", speed_change(ct1, sp1, ct2, sp2))
@@ -197,14 +203,19 @@ def attach_events(trips: DataFrame, events: DataFrame, keys: list[str]) -> DataF
     return trips.join(events, on=keys, how="inner")
 
 
-def trip_rows(samples: DataFrame, grain: Grain, max_group_rows: int | None = None) -> DataFrame:
+def trip_rows(
+    samples: DataFrame,
+    grain: Grain,
+    max_group_rows: int | None = None,
+    formulas: Motion | None = None,
+) -> DataFrame:
     """All measures of each trip from one pass over the ordered samples.
 
     At the grains with events, trips with a NULL key are left out, as the join on the keys in
     `attach_events` would.
     """
     keys = grain.trip_keys
-    motion = Motion(events=grain.has_events)
+    motion = replace(formulas or Motion(), distance=True, events=grain.has_events)
 
     def small(rows: DataFrame) -> DataFrame:
         # One row per trip, user and vehicle, then one per trip: both reuse the partitioning of

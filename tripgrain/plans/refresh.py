@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripgrain.durable import cut_lineage
+from tripgrain.functions.timestamps import with_bucket
+from tripgrain.operators.trips import Motion
 from tripgrain.plans.statistics import driving_stat
 from tripgrain.schema import Grain
 from tripgrain.sinks.gold import (
     FULL_LOAD,
     INCREMENTAL,
+    check_owner,
     register_partitions,
     repair_registration,
+    replace_partitions,
     target_exists,
     write_gold,
 )
-from tripgrain.sources.positions import incremental, watermark_of
+from tripgrain.sources.positions import (
+    consumed_until,
+    incremental,
+    latest_partition,
+    note_consumed,
+    partitions_from,
+    watermark_of,
+)
 
 
 def resolve_load_type(spark: SparkSession, load_type: str, table: str, path: str) -> str:
@@ -27,6 +43,45 @@ def resolve_load_type(spark: SparkSession, load_type: str, table: str, path: str
     return load_type
 
 
+def _by_gold_partition(positions: DataFrame, grain: Grain) -> DataFrame:
+    """Samples with the gold partition they belong to as `gold_year`, …"""
+    dated = with_bucket(positions, grain)
+    parts = {
+        "year": F.year("date"),
+        "month": F.month("date"),
+        "day": F.dayofmonth("date"),
+        "hour": F.hour("ts"),
+    }
+    return dated.withColumns({f"gold_{name}": parts[name] for name in grain.partitions})
+
+
+def _samples_to_compute(
+    batch: DataFrame, positions: DataFrame, grain: Grain, target_path: str
+) -> DataFrame:
+    """The batch, with all earlier samples of the buckets that are written already.
+
+    Source and event time may differ, so a batch can reach into buckets that earlier batches
+    filled. Those are computed again from everything known of them, never from the batch alone.
+    Where there are none, nothing but the batch is read.
+    """
+    spark, names = batch.sparkSession, [f"gold_{name}" for name in grain.partitions]
+    kinds = ", ".join(f"{name} int" for name in grain.partitions)
+    written = spark.read.schema(kinds).parquet(target_path).toDF(*names).distinct()
+    # Both sides have one row per gold partition.
+    touched = _by_gold_partition(batch, grain).select(*names).distinct()
+    again = cut_lineage(touched.join(written, _same(touched, written, names), "left_semi"))
+    if again.isEmpty():
+        return batch
+    everything, new = _by_gold_partition(positions, grain), _by_gold_partition(batch, grain)
+    whole = everything.join(again, _same(everything, again, names), "left_semi")
+    rest = new.join(again, _same(new, again, names), "left_anti")
+    return whole.unionByName(rest).select(*positions.columns)
+
+
+def _same(one: DataFrame, other: DataFrame, names: list[str]) -> Column:
+    return reduce(and_, [one[name].eqNullSafe(other[name]) for name in names])
+
+
 def refresh(
     positions: DataFrame,
     grain: Grain,
@@ -34,26 +89,47 @@ def refresh(
     table: str,
     load_type: str = INCREMENTAL,
     max_group_rows: int | None = None,
+    formulas: Motion | None = None,
+    repair_from: datetime | None = None,
 ) -> str | None:
     """Bring the gold table of a grain up to date; returns the load type that ran, if any did.
 
-    An incremental load takes the source partitions strictly later than the latest gold
-    partition, so samples that arrive late for a bucket already written stay out. With nothing
-    new, nothing is written.
+    An incremental load takes the source partitions strictly later than the last one that a
+    complete load consumed, so samples that arrive late for a consumed partition stay out unless
+    `repair_from` names the partition to start again from. With nothing new, nothing is written.
+
+    A batch replaces exactly the gold partitions it touches, computed from all their samples, and
+    what was consumed is noted last. A run that was lost anywhere is made good by the next one,
+    and running twice changes nothing.
     """
     spark = positions.sparkSession
     load_type = resolve_load_type(spark, load_type, table, target_path)
+    check_owner(spark, table, target_path)
+    batch = positions
     if load_type == INCREMENTAL:
-        watermark = watermark_of(spark, target_path, grain)
+        consumed = consumed_until(spark, target_path, grain)
+        written = watermark_of(spark, target_path, grain)
+        watermark = consumed or written
         if watermark is None:
             load_type = FULL_LOAD
         else:
-            repair_registration(spark, table, grain, watermark)
-            positions = incremental(positions, grain, watermark)
-    if positions.isEmpty():
+            if written is not None:
+                repair_registration(spark, table, grain, written)
+            batch = incremental(positions, grain, watermark)
+            if repair_from is not None:
+                batch = positions.filter(partitions_from(grain, min(repair_from, watermark)))
+    if batch.isEmpty():
         return None
+    latest = latest_partition(batch, grain).first()["latest_ts"]
+    samples = batch
+    if load_type == INCREMENTAL:
+        samples = _samples_to_compute(batch, positions, grain, target_path)
     # One row per bucket: computed once, then written and listed from storage.
-    gold = cut_lineage(driving_stat(positions, grain, max_group_rows))
-    write_gold(gold, grain, target_path, load_type)
+    gold = cut_lineage(driving_stat(samples, grain, max_group_rows, formulas))
+    if load_type == FULL_LOAD:
+        write_gold(gold, grain, target_path, load_type)
+    else:
+        replace_partitions(gold, grain, target_path)
     register_partitions(spark, table, target_path, grain, gold, load_type)
+    note_consumed(spark, target_path, grain, latest)
     return load_type

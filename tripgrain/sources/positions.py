@@ -28,6 +28,15 @@ def partitions_after(grain: Grain, watermark: datetime) -> Column:
     return (F.col(year) >= watermark.year) & (newer_year | (same_year & later))
 
 
+def partitions_from(grain: Grain, first: datetime) -> Column:
+    """True for the partition of `first` and all later ones."""
+    same = F.lit(True)
+    for part in grain.partitions:
+        same = same & (F.col(part) == getattr(first, part))
+    year = grain.partitions[0]
+    return (F.col(year) >= first.year) & (same | partitions_after(grain, first))
+
+
 def incremental(positions: DataFrame, grain: Grain, watermark: datetime) -> DataFrame:
     """Samples of the partitions later than the watermark."""
     return positions.filter(partitions_after(grain, watermark))
@@ -79,3 +88,28 @@ def watermark_of(spark: SparkSession, path: str, grain: Grain) -> datetime | Non
     partitions = ", ".join(f"{part} int" for part in grain.partitions)
     gold = spark.read.schema(partitions).parquet(path)
     return latest_partition(gold, grain).first()["latest_ts"]
+
+
+CONSUMED = "_consumed"
+
+
+def note_consumed(
+    spark: SparkSession, path: str, grain: Grain, latest: datetime | None
+) -> None:
+    """Record beside the gold partitions up to which source partition they are complete.
+
+    The folder's name keeps it out of table scans. A full overwrite of the table removes it.
+    """
+    if latest is None:
+        return
+    row = spark.createDataFrame([(latest,)], "consumed timestamp_ntz")
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{CONSUMED}")
+
+
+def consumed_until(spark: SparkSession, path: str, grain: Grain) -> datetime | None:
+    """Start of the last source partition that a complete load consumed; None if not recorded."""
+    noted = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{CONSUMED}")
+    if not noted.getFileSystem(spark._jsc.hadoopConfiguration()).exists(noted):
+        return None
+    rows = spark.read.schema("consumed timestamp_ntz").parquet(f"{path}/{CONSUMED}")
+    return rows.agg(F.max("consumed").alias("latest")).first()["latest"]
