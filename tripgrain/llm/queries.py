@@ -147,4 +147,40 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+LOWER_WORDS_SQL = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATION_SQL = f"""
+    with docs as (select doc_id, {LOWER_WORDS_SQL} as words from documents),
+    items as (select cast(item_id as varchar) as item, {LOWER_WORDS_SQL} as words from benchmark),
+    windows as (
+        select item, words, least(len(words), 13) as size,
+               unnest(range(1, greatest(len(words) - 12, 1) + 1)) as pos
+        from items where len(words) > 0),
+    grams as (
+        select distinct item, size, array_to_string(words[pos : pos + size - 1], ' ') as gram
+        from windows),
+    places as (
+        select doc_id, words, size, unnest(range(1, len(words) - size + 2)) as pos
+        from docs, (select distinct size from grams) where len(words) >= size),
+    hits as (
+        select p.doc_id, p.pos, p.size, g.item
+        from (select doc_id, size, pos, array_to_string(words[pos : pos + size - 1], ' ') as gram
+              from places) as p
+        join grams as g on g.size = p.size and g.gram = p.gram),
+    covered as (
+        select doc_id, count(distinct place) as n_hit
+        from (select doc_id, unnest(range(pos, pos + size)) as place from hits) group by doc_id),
+    found as (
+        select doc_id, count(distinct item) as n_items,
+               string_agg(distinct item, ',' order by item) as listed
+        from hits group by doc_id)
+    select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit,
+           coalesce(n_items, 0) as n_items, sha256(coalesce(listed, '')) as items_sha256,
+           coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+    from docs left join covered using (doc_id) left join found using (doc_id)"""
+
+# The other operators hash with functions that SQL lacks, train, or parse; they are tested against
+# brute force, the public libraries or held-out labels.
+ORACLES: dict[str, str] = {"op5_decontamination": DECONTAMINATION_SQL}
