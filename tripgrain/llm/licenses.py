@@ -99,16 +99,13 @@ def _weights(rows: DataFrame, keys: list[str], idf: DataFrame) -> DataFrame:
 
 def inverse_frequencies(texts: DataFrame) -> DataFrame:
     """`term, idf` over all rows of a table with a column `content`."""
-    total = texts.agg(F.count(F.lit(1)).alias("files"))
+    files = texts.count()
     frequencies = (
         texts.select(F.explode(F.array_distinct(_terms(F.col("content")))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    # One row of totals.
-    return frequencies.join(F.broadcast(total)).select(
-        "term", F.log((1 + F.col("files")) / (1 + F.col("df")) + 1).alias("idf")
-    )
+    return frequencies.select("term", F.log((1 + files) / (1 + F.col("df")) + 1).alias("idf"))
 
 
 def _templates(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
