@@ -30,7 +30,7 @@ def test_subsequences_against_all_choices():
     for places in combinations(range(len(word)), LETTERS):
         span = places[-1] - places[0] + 1
         if span <= LETTERS + GAPS:
-            expected[tuple(word[p] for p in places)] += DECAY**span
+            expected[tuple(word[p] for p in places)] += DECAY ** (span - LETTERS)
     found = subsequences(word)
     assert found.keys() == expected.keys()
     assert all(abs(found[key] - value) < 1e-12 for key, value in expected.items())

@@ -1,7 +1,7 @@
 """Toxicity of documents by a support vector machine on a subsequence string kernel.
 
 The kernel of two strings counts their common subsequences of four letters, with up to two foreign
-letters between, each occurrence weighted by `DECAY` to the power of its span. A word of letters put
+letters between, each occurrence weighted by `DECAY` to the power of their number. A word of letters put
 apart by signs or blanks is read as one word; letters inserted into a word are the kernel's gaps.
 
 Landmark strings taken from the training words span the kernel's space (Nyström): a word is the
@@ -39,13 +39,14 @@ from tripgrain.llm.columns import bounded_broadcast, whole_text, with_results
 MAX_LABELLED = 4000
 LETTERS, GAPS, DECAY = 4, 2, 0.6
 FRAGMENT_LENGTHS = (4, 5, 6, 7)
-MAX_LANDMARKS, PLAIN_LANDMARKS = 48, 16
+MAX_LANDMARKS, NEAR_MISSES = 48, 3
+SHRINK, ROUNDS = 1e-5, 25
 MAX_CACHED_WORDS = 400_000
 LONGEST_WORD = 64
 
 _SIGNS = re.compile(r"[\W_]+")
 _REST = list(combinations(range(1, LETTERS + GAPS), LETTERS - 1))
-_WEIGHTS = [DECAY ** (places[-1] + 1) for places in _REST]
+_WEIGHTS = [DECAY ** (places[-1] + 1 - LETTERS) for places in _REST]
 _PADDING = "\0" * (LETTERS + GAPS)
 
 
@@ -117,7 +118,7 @@ def _fragments(word: str) -> set[str]:
 
 
 def choose_landmarks(documents: list[list[str]], toxic: np.ndarray) -> list[str]:
-    """Words, word starts and word ends that single out toxic documents, and frequent other ones.
+    """Words, word starts and word ends that single out toxic documents.
 
     A piece is wanted if it is in so many toxic documents, after taking off those of other
     documents, that chance would not give one such piece among all. Of pieces that contain each
@@ -144,8 +145,31 @@ def choose_landmarks(documents: list[list[str]], toxic: np.ndarray) -> list[str]
     for piece in wanted:
         if len(chosen) < MAX_LANDMARKS and not _alike(piece, chosen):
             chosen.append(piece)
-    usual = sorted(plain, key=lambda piece: (-plain[piece], piece))
-    return chosen + [piece for piece in usual if piece not in chosen][:PLAIN_LANDMARKS]
+    return chosen
+
+
+def near_misses(documents: list[list[str]], toxic: np.ndarray, marked: list[str]) -> list[str]:
+    """The words of other documents that come closest to each toxic landmark.
+
+    With them as landmarks too, what plain words share with an insult can be told from the rest.
+    """
+    landmarks = Landmarks(marked)
+    own = np.array([landmarks.kernels(piece)[at] for at, piece in enumerate(marked)])
+    best: list[list[tuple[float, str]]] = [[] for _ in marked]
+    seen: set[str] = set()
+    for at in np.flatnonzero(~toxic).tolist():
+        for word in documents[at]:
+            if word in seen:
+                continue
+            seen.add(word)
+            near = landmarks.kernels(word) / own
+            for place in np.flatnonzero(near > 0.1).tolist():
+                nearest = best[place]
+                if len(nearest) < NEAR_MISSES or (near[place], word) > nearest[0]:
+                    nearest.append((float(near[place]), word))
+                    nearest.sort()
+                    del nearest[: max(0, len(nearest) - NEAR_MISSES)]
+    return sorted({word for nearest in best for _, word in nearest} - set(marked))
 
 
 def _alike(piece: str, chosen: list[str]) -> bool:
@@ -161,11 +185,6 @@ def _stretched(word: str) -> list[str]:
     return [*once, *(f"{part[:-2]}\x01{part[-2:]}" for part in once if len(word) > 5)]
 
 
-def _core(word: str, landmarks: list[str]) -> str:
-    """The part of a word that is a landmark, or all of it."""
-    return max((mark for mark in landmarks if mark in word), key=len, default=word)
-
-
 @dataclass
 class ToxicityModel:
     """Weights of subsequences by first letter, and the curve from margin to probability."""
@@ -205,18 +224,28 @@ class WordMargins(dict):
         return margin
 
 
-def _hinge(rows: np.ndarray, signs: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """A linear machine with squared hinge loss and balanced classes; the last weight is the bias."""
-    share = np.where(signs > 0, 0.5 / max(1, (signs > 0).sum()), 0.5 / max(1, (signs < 0).sum()))
-    first, second = np.zeros_like(weights), np.zeros_like(weights)
-    for step in range(1, 601):
-        slack = np.maximum(0.0, 1.0 - signs * (rows @ weights))
-        gradient = -(2 * share * slack * signs) @ rows
-        gradient[:-1] += 1e-4 * weights[:-1]
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        moved = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-        weights = weights - 0.05 * moved
+def _hinge(rows: np.ndarray, signs: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """A linear machine with squared hinge loss; the last weight is the bias.
+
+    Newton steps: the rows inside the margin make a least squares problem, solved until it is the
+    same rows, halving a step that does not lower the loss.
+    """
+    weights, shrink = np.zeros(rows.shape[1]), np.full(rows.shape[1], SHRINK)
+    shrink[-1] = 1e-9
+
+    def loss(at: np.ndarray) -> float:
+        return float(share @ np.maximum(0.0, 1.0 - signs * (rows @ at)) ** 2 + shrink @ at**2)
+
+    for _ in range(60):
+        inside = signs * (rows @ weights) < 1.0
+        weighed = rows[inside] * share[inside, None]
+        goal = np.linalg.solve(weighed.T @ rows[inside] + np.diag(shrink), weighed.T @ signs[inside])
+        step, before = 1.0, loss(weights)
+        while step > 1e-3 and loss(weights + step * (goal - weights)) >= before:
+            step /= 2
+        if step <= 1e-3:
+            break
+        weights = weights + step * (goal - weights)
     return weights
 
 
@@ -240,7 +269,8 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
     if toxic.all() or not toxic.any():
         share = float(toxic.mean()) if len(toxic) else 0.0
         return ToxicityModel({}, 0.0, 0.0, 40.0 if share == 1 else -40.0)
-    landmarks = Landmarks(choose_landmarks(documents, toxic))
+    marked = choose_landmarks(documents, toxic) or ["toxic"]
+    landmarks = Landmarks([*marked, *near_misses(documents, toxic, marked)])
     place: dict[str, int] = {}
     kernels: list[np.ndarray] = []
     members, counts = [], []
@@ -256,41 +286,43 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
             if at >= 0:
                 members.append(at)
         counts.append(len(members) - before)
-    embedded = np.array(kernels).reshape(-1, len(landmarks.strings)) @ landmarks.whitening
+    plain = np.array(kernels).reshape(-1, len(landmarks.strings))
+    own = np.array([landmarks.kernels(piece)[at] for at, piece in enumerate(marked)])
+    # To begin with, the worst word is the one that holds most of a toxic landmark.
+    margins = np.append((plain[:, : len(marked)] / own).max(axis=1, initial=0.0), 0.0)
+    embedded = plain @ landmarks.whitening
     # The last row is a word without anything in common with a landmark; every document has it.
     embedded = np.vstack([embedded, np.zeros(embedded.shape[1])])
     rows = np.hstack([embedded, np.ones((len(embedded), 1))])
-    word_of = {at: word for word, at in place.items()}
     members, counts = np.array(members, np.int64), np.array(counts)
     bounds = np.cumsum(counts) - counts
-    signs = np.where(toxic, 1.0, -1.0)
-    wanted = np.zeros(len(landmarks.strings))
-    wanted[: len(landmarks.strings) - PLAIN_LANDMARKS] = 1.0
-    seed = np.append(np.linalg.lstsq(landmarks.whitening, wanted, rcond=None)[0], 0.0)
-    weights = seed
-    for _ in range(4):
-        margins = rows @ weights
-        worst = [
-            max(members[low : low + n].tolist(), key=margins.__getitem__, default=-1)
-            for low, n in zip(bounds, counts)
-        ]
-        worst = [at if at >= 0 and margins[at] > margins[-1] else -1 for at in worst]
-        # What the toxic documents were chosen for also is learned with letters inserted.
-        named = {at for at, mark in zip(worst, toxic) if mark and at >= 0}
-        variants = [
-            landmarks.kernels(variant)
-            for at in sorted(named)
-            for piece in [word_of[at]]
-            for variant in _stretched(_core(piece, landmarks.strings))
-        ]
-        extra = np.array(variants).reshape(-1, len(landmarks.strings)) @ landmarks.whitening
-        extra = np.hstack([extra, np.ones((len(extra), 1))])
-        weights = _hinge(
-            np.vstack([rows[worst], extra]),
-            np.concatenate([signs, np.ones(len(extra))]),
-            np.zeros_like(seed),
+    # The toxic landmarks are examples too, so that a rare or short one counts as much as a frequent
+    # one; with letters inserted they count less, as plain words may come close to them.
+    stretched = [shape for piece in marked for shape in _stretched(piece)]
+    extra = np.array([landmarks.kernels(shape) for shape in [*marked, *stretched]])
+    extra = extra.reshape(-1, len(landmarks.strings)) @ landmarks.whitening
+    extra = np.hstack([extra, np.ones((len(extra), 1))])
+    shares = [0.3 / toxic.sum(), 0.15 / len(marked), 0.05 / max(1, len(stretched))]
+    positive = np.repeat(shares, [toxic.sum(), len(marked), len(stretched)])
+    harmless = np.array([], np.int64)
+    for _ in range(ROUNDS):
+        worst = np.array(
+            [
+                max(members[low : low + n].tolist(), key=margins.__getitem__, default=-1)
+                for low, n in zip(bounds, counts)
+            ]
         )
-    margins = rows @ weights
+        worst = np.where(margins[worst] > margins[-1], worst, -1)
+        # Words of other documents stay examples once they were the worst, so none comes back.
+        known = np.union1d(harmless, worst[~toxic])
+        if len(known) == len(harmless):
+            break
+        harmless = known
+        examples = np.vstack([rows[worst[toxic]], extra, rows[harmless]])
+        signs = np.repeat([1.0, -1.0], [len(positive), len(harmless)])
+        share = np.append(positive, np.full(len(harmless), 0.5 / len(harmless)))
+        weights = _hinge(examples, signs, share)
+        margins = rows @ weights
     tops = np.array(
         [
             max(margins[members[low : low + n]].max(initial=-np.inf), margins[-1])
