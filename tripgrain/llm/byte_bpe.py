@@ -27,8 +27,8 @@ from tripgrain.llm.columns import bounded_broadcast, whole_text, with_results
 from tripgrain.llm.pretokens import splitter
 
 # What a worker remembers at most; beyond that it starts anew.
-MAX_CACHED_PIECES = 300_000
-MAX_CACHED_SEAMS = 300_000
+MAX_CACHED_PIECES = 200_000
+MAX_CACHED_SEAMS = 200_000
 # Pairs of ids as one number; candidates where no token of three bytes or more ends.
 SEAM_BASE, SHORT = 1 << 32, (2, 1)
 

@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Texts are long, so the batches in which workers get them are kept to so many rows.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 # A broadcast is refused above this size; what may grow with the data is never broadcast.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to `BATCH_ROWS` rows, if they are larger.
+
+    A worker holds a few batches at once beside what it remembers, so their size bounds its memory.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
 def with_results(df: DataFrame, results: dict[str, Column]) -> DataFrame:
     """Add result columns; an input column of the same name, in any case, gives way to them."""
+    small_batches(df.sparkSession)
     taken = {name.lower() for name in results}
     kept = [f"`{name}`" for name in df.columns if name.lower() not in taken]
     return df.select(*kept, *[value.alias(name) for name, value in results.items()])

@@ -25,7 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.durable import cut_lineage
-from tripgrain.llm.columns import bounded_broadcast, fresh_name, whole_text, with_results
+from tripgrain.llm.columns import (
+    bounded_broadcast,
+    fresh_name,
+    small_batches,
+    whole_text,
+    with_results,
+)
 
 WINDOW = 13
 # An automaton of one block; larger benchmarks take several, over which the documents stream in
@@ -255,6 +261,7 @@ def find_contamination(
 ) -> DataFrame:
     """Documents with `n_words`, `n_hit`, `hits` (word ranges, end exclusive) and `items`."""
     spark = documents.sparkSession
+    small_batches(spark)
     automata, blocks = item_automata(benchmark, item, item_text, window)
     found = fresh_name(documents, "found")
     scanned = documents

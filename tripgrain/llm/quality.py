@@ -28,7 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.columns import bounded_broadcast, fresh_name, whole_text, with_results
+from tripgrain.llm.columns import (
+    bounded_broadcast,
+    fresh_name,
+    small_batches,
+    whole_text,
+    with_results,
+)
 
 MAX_RATED = 6000
 DIMENSIONS = 1 << 12
@@ -46,7 +52,7 @@ def _hashed(feature: str) -> int:
     return zlib.crc32(feature.encode("utf-8", "surrogatepass")) & (DIMENSIONS - 1)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def _word_features(word: str) -> tuple[int, int]:
     shape = word[:64].translate(_SHAPE)
     runs = "".join(b for a, b in zip(" " + shape, shape) if a != b)
@@ -150,6 +156,7 @@ def fit_quality(
 
     What reaches the driver are the features of those, no more than `DIMENSIONS` numbers each.
     """
+    small_batches(documents.sparkSession)
     rated = ratings.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{rating}`").cast("double").alias("rating")
     ).dropna()

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.durable import cut_lineage
-from tripgrain.llm.columns import fresh_name, whole_text
+from tripgrain.llm.columns import fresh_name, small_batches, whole_text
 from tripgrain.llm.components import connected_components
 
 SEED = 42
@@ -248,6 +248,7 @@ def near_duplicates(
 
     One row per document. The fingerprints are computed once and stored.
     """
+    small_batches(documents.sparkSession)
     hashed = cut_lineage(
         documents.select(
             F.col(f"`{id_column}`").alias("id"),
