@@ -111,11 +111,13 @@ def test_classes_against_brute_force(spark):
 
 
 def test_one_of_each_class_stays(spark):
-    rows = [*enumerate(texts()), (3, "one"), (None, "alone with no id")]
+    rows = [*enumerate(texts()), (3, "one"), (None, "alone with no id"), (None, "another of its own kind"),
+            (None, "alone with no id"), (3, "the same id but quite another text")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in keep_one_of_each(df).collect())
     best = plain_components({i: plain_fingerprint(text) for i, text in enumerate(texts())})
-    assert kept == [*((False, i) for i in sorted(set(best.values()))), (True, 0)]
+    expected = [*((False, i) for i in set(best.values())), (False, 3), (True, 0), (True, 0)]
+    assert kept == sorted(expected)
 
 
 def test_empty_table(spark):

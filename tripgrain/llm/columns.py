@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +16,24 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batches to `BATCH_ROWS` rows, if they are larger.
+def prepare_workers(spark: SparkSession) -> None:
+    """What Python workers need: this package on their path, and batches of bounded size.
 
-    A worker holds a few batches at once beside what it remembers, so their size bounds its memory.
+    Where the package is not installed, workers on the same machine find it where the driver did.
+    A worker holds a few batches at once beside what it remembers, so the session's Arrow batches
+    are lowered to `BATCH_ROWS` rows if they are larger.
     """
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
     if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
         spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
 
 
 def with_results(df: DataFrame, results: dict[str, Column]) -> DataFrame:
     """Add result columns; an input column of the same name, in any case, gives way to them."""
-    small_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
     taken = {name.lower() for name in results}
     kept = [f"`{name}`" for name in df.columns if name.lower() not in taken]
     return df.select(*kept, *[value.alias(name) for name, value in results.items()])
@@ -49,6 +58,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bounded_broadcast(spark: SparkSession, payload: bytes):
     """Broadcast bytes after a check of their number."""
+    prepare_workers(spark)
     if len(payload) > MAX_BROADCAST_BYTES:
         raise ValueError(f"{len(payload)} bytes are too many to broadcast")
     return spark.sparkContext.broadcast(payload)

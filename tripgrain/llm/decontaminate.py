@@ -28,7 +28,7 @@ from tripgrain.durable import cut_lineage
 from tripgrain.llm.columns import (
     bounded_broadcast,
     fresh_name,
-    small_batches,
+    prepare_workers,
     whole_text,
     with_results,
 )
@@ -261,7 +261,7 @@ def find_contamination(
 ) -> DataFrame:
     """Documents with `n_words`, `n_hit`, `hits` (word ranges, end exclusive) and `items`."""
     spark = documents.sparkSession
-    small_batches(spark)
+    prepare_workers(spark)
     automata, blocks = item_automata(benchmark, item, item_text, window)
     found = fresh_name(documents, "found")
     scanned = documents

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripgrain.durable import cut_lineage
-from tripgrain.llm.columns import fresh_name, small_batches, whole_text, with_results
+from tripgrain.llm.columns import fresh_name, prepare_workers, whole_text, with_results
 
 # For a statement, and for a text that is nothing but a licence.
 MIN_COSINE, WHOLE_COSINE = 0.6, 0.8
@@ -195,7 +195,7 @@ def scan_licenses(
 
     `origin` is stated, inherited or none.
     """
-    small_batches(files.sparkSession)
+    prepare_workers(files.sparkSession)
     key, folder = fresh_name(files, "text_key"), fresh_name(files, "folder")
     content = whole_text(text)
     texts = files.select(F.md5(content.cast("binary")).alias("key"), content.alias("content"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tripgrain.llm.columns import (
     bounded_broadcast,
     fresh_name,
-    small_batches,
+    prepare_workers,
     whole_text,
     with_results,
 )
@@ -156,7 +156,7 @@ def fit_quality(
 
     What reaches the driver are the features of those, no more than `DIMENSIONS` numbers each.
     """
-    small_batches(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     rated = ratings.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{rating}`").cast("double").alias("rating")
     ).dropna()

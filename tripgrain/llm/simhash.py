@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.durable import cut_lineage
-from tripgrain.llm.columns import fresh_name, small_batches, whole_text
+from tripgrain.llm.columns import fresh_name, prepare_workers, whole_text
 from tripgrain.llm.components import connected_components
 
 SEED = 42
@@ -241,14 +241,15 @@ def fingerprint_links(distinct: DataFrame, value: str) -> DataFrame:
     return together.mapInArrow(_link_runs, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(
-    documents: DataFrame, id_column: str = "doc_id", text: str = "text", shingle_words: int = 3
-) -> DataFrame:
-    """`id_column`, `fingerprint` (signed long) and `component_id`, the smallest id of the class.
+def _classes(
+    documents: DataFrame, id_column: str, text: str, shingle_words: int
+) -> tuple[DataFrame, DataFrame]:
+    """`id, fingerprint` of each document, and `fingerprint, smallest, root` of each fingerprint.
 
-    One row per document. The fingerprints are computed once and stored.
+    `smallest` is the smallest id with the fingerprint; those of a class have the same root. The
+    fingerprints are computed once and stored.
     """
-    small_batches(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     hashed = cut_lineage(
         documents.select(
             F.col(f"`{id_column}`").alias("id"),
@@ -260,9 +261,20 @@ def near_duplicates(
     placed = smallest.join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).withColumn("root", F.coalesce("root", "fingerprint"))
+    return hashed, cut_lineage(placed)
+
+
+def near_duplicates(
+    documents: DataFrame, id_column: str = "doc_id", text: str = "text", shingle_words: int = 3
+) -> DataFrame:
+    """`id_column`, `fingerprint` (signed long) and `component_id`, the smallest id of the class.
+
+    One row per document.
+    """
+    hashed, placed = _classes(documents, id_column, text, shingle_words)
     least = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
     classes = placed.select("fingerprint", "root").join(least, "root").drop("root")
-    return hashed.join(cut_lineage(classes), "fingerprint").select(
+    return hashed.join(classes, "fingerprint").select(
         F.col("id").alias(id_column), "fingerprint", "component_id"
     )
 
@@ -272,21 +284,21 @@ def keep_one_of_each(
 ) -> DataFrame:
     """The documents without near copies: of each class the one of the smallest id stays.
 
-    Of rows with equal ids and texts one stays, whichever; a class without ids keeps one row.
+    Of rows equal in id and fingerprint one stays, whichever; a class without ids keeps one row.
     """
-    row, mark = fresh_name(documents, "row_number"), fresh_name(documents, "fingerprint_of")
-    hashed = documents.withColumn(mark, fingerprints(whole_text(text), shingle_words))
-    classes = near_duplicates(documents, id_column, text, shingle_words)
-    chosen = classes.filter(F.col(id_column).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_column).alias(row), F.col("fingerprint").alias(mark)
+    _, placed = _classes(documents, id_column, text, shingle_words)
+    first = F.min(F.struct(F.col("smallest").isNull(), "smallest", "fingerprint")).alias("first")
+    row, mark = fresh_name(documents, "first_id"), fresh_name(documents, "fingerprint_of")
+    chosen = placed.groupBy("root").agg(first).select(
+        F.col("first.smallest").alias(row), F.col("first.fingerprint").alias(mark)
     )
-    chosen = chosen.groupBy(row).agg(F.min(mark).alias(mark))
+    hashed = documents.withColumn(mark, fingerprints(whole_text(text), shingle_words))
     kept = hashed.join(
         chosen,
         hashed[f"`{id_column}`"].eqNullSafe(chosen[row]) & (hashed[mark] == chosen[mark]),
         "left_semi",
     )
-    return kept.drop(mark).dropDuplicates([id_column])
+    return kept.dropDuplicates([id_column, mark]).drop(mark)
 
 
 def as_hex(value: Column) -> Column:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgrain.durable import remove_path, scratch_path
-from tripgrain.llm.columns import fresh_name, small_batches, whole_text, with_results
+from tripgrain.llm.columns import fresh_name, prepare_workers, whole_text, with_results
 
 MIN_BYTES, GRAM = 400, 64
 BATCHES = 4
@@ -444,7 +444,7 @@ def remove_repeats(
     documents: DataFrame, text: str = "text", min_bytes: int = MIN_BYTES, batches: int = BATCHES
 ) -> DataFrame:
     """Documents with `spans` (removed byte ranges), `kept` (the bytes left) and `n_bytes`."""
-    small_batches(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     content = whole_text(text)
     texts = documents.select(*text_key(content), content.alias("text"))
     spans = repeated_spans(texts, min_bytes, batches)

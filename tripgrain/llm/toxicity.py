@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.columns import bounded_broadcast, small_batches, whole_text, with_results
+from tripgrain.llm.columns import bounded_broadcast, prepare_workers, whole_text, with_results
 
 MAX_LABELLED = 4000
 LETTERS, GAPS, DECAY = 4, 2, 0.6
@@ -347,7 +347,7 @@ def fit_toxicity(
     max_labelled: int = MAX_LABELLED,
 ) -> ToxicityModel:
     """Fit to at most `max_labelled` labelled documents, chosen by the hash of their id."""
-    small_batches(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     known = labels.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")
     ).dropna()
