@@ -276,5 +276,7 @@ def test_command_line(spark, target, tmp_path, capsys):
     assert capsys.readouterr().out.split("\n")[:3] == [
         f"{table}: FULL_LOAD", f"{table}: INCREMENTAL", f"{table}: nothing new"
     ]
+    refresh_job.main([*arguments, "--repair-from", "2024-01-05", "--harsh", "3"])
+    assert capsys.readouterr().out == f"{table}: INCREMENTAL\n"
     with pytest.raises(ValueError):
         refresh_job.main([*arguments, "--load-type", "X"])
