@@ -40,7 +40,7 @@ MAX_LABELLED = 4000
 LETTERS, GAPS, DECAY = 4, 2, 0.6
 FRAGMENT_LENGTHS = (4, 5, 6, 7)
 MAX_LANDMARKS, NEAR_MISSES = 48, 3
-SHRINK, ROUNDS = 1e-5, 25
+SHRINK, ROUNDS, CLOSE = 1e-5, 25, 0.1
 MAX_CACHED_WORDS = 200_000
 LONGEST_WORD = 64
 
@@ -163,7 +163,7 @@ def near_misses(documents: list[list[str]], toxic: np.ndarray, marked: list[str]
                 continue
             seen.add(word)
             near = landmarks.kernels(word) / own
-            for place in np.flatnonzero(near > 0.1).tolist():
+            for place in np.flatnonzero(near > CLOSE).tolist():
                 nearest = best[place]
                 if len(nearest) < NEAR_MISSES or (near[place], word) > nearest[0]:
                     nearest.append((float(near[place]), word))
@@ -271,6 +271,8 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
         return ToxicityModel({}, 0.0, 0.0, 40.0 if share == 1 else -40.0)
     marked = choose_landmarks(documents, toxic) or ["toxic"]
     landmarks = Landmarks([*marked, *near_misses(documents, toxic, marked)])
+    own = np.array([landmarks.kernels(piece)[at] for at, piece in enumerate(marked)])
+    # Words that have next to nothing in common with a toxic landmark cannot be a document's worst.
     place: dict[str, int] = {}
     kernels: list[np.ndarray] = []
     members, counts = [], []
@@ -280,14 +282,14 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
             at = place.get(word)
             if at is None:
                 vector = landmarks.kernels(word)
-                at = place[word] = len(kernels) if vector.any() else -1
-                if at >= 0:
-                    kernels.append(vector)
+                close = (vector[: len(marked)] > CLOSE * own).any()
+                at = place[word] = len(kernels) if close else -1
+                if close:
+                    kernels.append(vector.astype(np.float32))
             if at >= 0:
                 members.append(at)
         counts.append(len(members) - before)
-    plain = np.array(kernels).reshape(-1, len(landmarks.strings))
-    own = np.array([landmarks.kernels(piece)[at] for at, piece in enumerate(marked)])
+    plain = np.array(kernels, np.float32).reshape(-1, len(landmarks.strings))
     # To begin with, the worst word is the one that holds most of a toxic landmark.
     margins = np.append((plain[:, : len(marked)] / own).max(axis=1, initial=0.0), 0.0)
     embedded = plain @ landmarks.whitening
