@@ -40,7 +40,7 @@ MAX_LABELLED = 4000
 LETTERS, GAPS, DECAY = 4, 2, 0.6
 FRAGMENT_LENGTHS = (4, 5, 6, 7)
 MAX_LANDMARKS, NEAR_MISSES = 48, 3
-SHRINK, ROUNDS, CLOSE = 1e-5, 25, 0.1
+SHRINK, ROUNDS, CLOSE = 1e-4, 25, 0.02
 MAX_CACHED_WORDS = 200_000
 LONGEST_WORD = 64
 
@@ -292,10 +292,10 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
     plain = np.array(kernels, np.float32).reshape(-1, len(landmarks.strings))
     # To begin with, the worst word is the one that holds most of a toxic landmark.
     margins = np.append((plain[:, : len(marked)] / own).max(axis=1, initial=0.0), 0.0)
-    embedded = plain @ landmarks.whitening
     # The last row is a word without anything in common with a landmark; every document has it.
-    embedded = np.vstack([embedded, np.zeros(embedded.shape[1])])
-    rows = np.hstack([embedded, np.ones((len(embedded), 1))])
+    rows = np.zeros((len(plain) + 1, landmarks.whitening.shape[1] + 1), np.float32)
+    np.matmul(plain, landmarks.whitening.astype(np.float32), out=rows[:-1, :-1])
+    rows[:, -1] = 1.0
     members, counts = np.array(members, np.int64), np.array(counts)
     bounds = np.cumsum(counts) - counts
     # The toxic landmarks are examples too, so that a rare or short one counts as much as a frequent
@@ -320,7 +320,7 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
         if len(known) == len(harmless):
             break
         harmless = known
-        examples = np.vstack([rows[worst[toxic]], extra, rows[harmless]])
+        examples = np.vstack([rows[worst[toxic]], extra, rows[harmless]]).astype(float)
         signs = np.repeat([1.0, -1.0], [len(positive), len(harmless)])
         share = np.append(positive, np.full(len(harmless), 0.5 / len(harmless)))
         weights = _hinge(examples, signs, share)
