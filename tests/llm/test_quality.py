@@ -79,3 +79,20 @@ def test_held_out_accuracy(spark):
 def test_query_covers_all_rows(spark, sf_dir):
     total = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert op7_quality(spark, sf_dir).count() == total
+
+
+def test_words_are_read_behind_character_64():
+    head = "漢" * 64
+    for one, other in ((head + "字" * 500, head + "語" * 500), (head + "x" * 300_000, head + "9x" * 150_000), ("y" * 64 + "a", "y" * 64 + "b")):
+        (i, v), (j, w) = features(one), features(other)
+        assert dict(zip(i.tolist(), v.tolist())) != dict(zip(j.tolist(), w.tolist()))
+    chance = random.Random(7)
+    texts = [(head + ("好" if grade else "壞") * 64 * chance.randrange(3, 9), float(grade)) for grade in (0, 1) * 60]
+    model = fit_ordinal([features(text) for text, _ in texts], [grade for _, grade in texts])
+    scores = model.tails(np.array([model.score(text) for text, _ in texts]))[:, 0]
+    assert all((score >= 0.5) == (grade == 1) for score, (_, grade) in zip(scores, texts))
+
+
+def test_pieces_of_a_long_word_count_as_words():
+    whole, apart = features("p" * 64 + "q" * 64 + "rs t"), features("p" * 64 + " " + "q" * 64 + " rs t")
+    assert whole[0].tolist() == apart[0].tolist() and whole[1].tolist() == apart[1].tolist()

@@ -5,7 +5,9 @@ score into grades: P(grade <= k) = sigmoid(threshold_k - score). This gives the
 the probability of the best grades, by which documents are chosen.
 
 Features are shares of a text's words by hashed word, by hashed shape (letters, capitals and signs
-in runs) and by repetition of the words before, as square roots. The model is fitted to at most
+in runs) and by repetition of the words before, as square roots. A word of over `LONGEST_WORD`
+characters, as in texts without blanks, counts as consecutive pieces of that length, each a word.
+The model is fitted to at most
 `MAX_RATED` rated documents, those of the lowest hash of their id; everything else covers all rows.
 
 Defined results: NULL and empty texts have no features and get the probabilities of the thresholds
@@ -38,6 +40,7 @@ from tripgrain.llm.columns import (
 
 MAX_RATED = 6000
 DIMENSIONS = 1 << 12
+LONGEST_WORD = 64
 STEPS, RATE, SHRINK = 400, 0.05, 1e-4
 
 # Letters a, capitals A, digits 0; all other characters of Latin-1 stand for themselves.
@@ -54,14 +57,23 @@ def _hashed(feature: str) -> int:
 
 @lru_cache(maxsize=50_000)
 def _word_features(word: str) -> tuple[int, int]:
-    shape = word[:64].translate(_SHAPE)
+    shape = word.translate(_SHAPE)
     runs = "".join(b for a, b in zip(" " + shape, shape) if a != b)
-    return _hashed(f"w:{word[:64].lower()}"), _hashed(f"s:{runs}")
+    return _hashed(f"w:{word.lower()}"), _hashed(f"s:{runs}")
+
+
+def _words(text: str) -> list[str]:
+    words = text.split()
+    if max(map(len, words), default=0) <= LONGEST_WORD:
+        return words
+    return [
+        word[at : at + LONGEST_WORD] for word in words for at in range(0, len(word), LONGEST_WORD)
+    ]
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of a text's features, every word of it counted."""
-    words = text.split()
+    words = _words(text)
     if not words:
         return np.empty(0, np.int32), np.empty(0, np.float32)
     counts: Counter = Counter()
