@@ -5,8 +5,8 @@ DataFrame. All but the last return the columns of `documents`; between stages th
 as Parquet and read again, so that a lost executor costs one stage at most.
 
 1. `quality`: documents that the quality classifier rejects go. It is fitted to `labels`.
-2. `near_duplicates`: of documents whose five-word shingles have a Jaccard similarity of 0.8 or more,
-   and of those linked by such, the one of the smallest id stays.
+2. `near_duplicates`: of each SimHash class (three-word shingles, fingerprints linked at two or fewer
+   differing bits) the document of the smallest id stays.
 3. `repeats`: strings of `REPEAT_BYTES` bytes or more that occur more than once are cut out.
 4. `benchmark`: documents that overlap `benchmark` by the contamination rule go.
 5. `tokens`: each text as byte-level BPE ids, with the number of tokens and the digest of the
@@ -25,23 +25,25 @@ from tripgrain.durable import scratch_path
 from tripgrain.llm.byte_bpe import decode_ids, encode_texts
 from tripgrain.llm.columns import table
 from tripgrain.llm.decontaminate import find_contamination, is_contaminated
-from tripgrain.llm.near_copies import keep_one_of_similar
 from tripgrain.llm.quality import good_documents
+from tripgrain.llm.simhash import keep_one_of_each
 from tripgrain.llm.suffix_index import readable, remove_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
-# Passages of more than fifty words are longer than this in any of the corpus's languages.
+SHINGLE_WORDS = 3
+# Shorter than nearly all passages of more than fifty words; one of very short words may be below it.
 REPEAT_BYTES = 200
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose grade passes; NULL and empty texts are graded like any other."""
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one_of_similar(docs, shingle_words=NEAR_WORDS, min_similarity=NEAR_SIMILARITY)
+    """One row of each SimHash class; texts without words are one class, ties keep any one row."""
+    return keep_one_of_each(docs, shingle_words=SHINGLE_WORDS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +57,13 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the contamination rule leaves; texts without words stay."""
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.filter(~is_contaminated()).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, NULL read as empty, and the digest of the bytes they decode to."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = encode_texts(docs, ranks, public_tokenizers.PATTERN)
     return decode_ids(encoded, ranks).select(
