@@ -369,9 +369,7 @@ def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the corpus operators and their pipeline; none where they are not there."""
     try:
         from tripgrain.llm.queries import ORACLES, QUERIES
-    except ModuleNotFoundError as missing:
-        if not str(missing.name).startswith("tripgrain.llm"):
-            raise
+    except ImportError:
         return {}, {}
     named, oracles = dict(QUERIES), dict(ORACLES)
     if importlib.util.find_spec("corpus_pipeline") is not None:
