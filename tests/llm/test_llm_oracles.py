@@ -7,7 +7,7 @@ from tripgrain.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     sf_dir, duck = "/root/testdata/sf0.01", duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         duck.execute(f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')")
     expected = duck.execute(ORACLES[name])
     columns = sorted(column[0] for column in expected.description)
@@ -18,4 +18,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
