@@ -156,14 +156,28 @@ def test_long_conversations_are_cut_anywhere(spark, partitions):
     assert found.keys() == grouped(rows).keys()
 
 
-def test_short_limits_give_the_same(spark, monkeypatch):
+def test_short_limits_give_the_same(spark):
     """Conversations that a task gives up are repaired as tables, with equal results."""
     rows = random_rows(8, 80, 9)
     frame = spark.createDataFrame(rows, KIND)
     usual = sorted(map(repr, c.repair_conversations(frame).collect()))
-    monkeypatch.setattr(c._Held, "add", lambda self, *row: self.leave())
-    monkeypatch.setattr(c, "PIECE_ROWS", 2)
-    assert sorted(map(repr, c.repair_conversations(frame).collect())) == usual
+    for held_rows in (0, 3):
+        assert sorted(map(repr, c.repair_conversations(frame, held_rows=held_rows).collect())) == usual
+
+
+def test_pieces_join_anywhere():
+    pick = random.Random(4)
+    for size in (1, 5, 30):
+        features = [(t, pick.choice("sua-"), pick.choice([0, 0, 1, 2]), 1, 0, 0, 0) for t in range(size)]
+        features = [(t, i, f, n, int(f == 2), 0, int(f == 1)) for t, i, f, n, *_ in features]
+        whole, value = c.repaired(features)
+        for width in (1, 2, 7):
+            pieces = c.Pieces()
+            for at in range(0, size, width):
+                pieces.add(c.derive(features[at : at + width]))
+            joined = pieces.joined()
+            assert c.goal(joined) == value
+            assert {**vars(joined), "values": 0} == {**vars(whole), "values": 0}
 
 
 def test_odd_tables(spark):

@@ -309,16 +309,16 @@ def _runs(batches, width: int) -> Iterator[tuple]:
 class _Held:
     """The rows of a conversation until it is known to be whole."""
 
-    def __init__(self):
+    def __init__(self, most_rows: int):
         self.rows: list[tuple[int | None, str, str]] = []
-        self.chars, self.at_edge = 0, False
+        self.most_rows, self.chars, self.at_edge = most_rows, 0, False
 
     def add(self, turn: int | None, role: str, text: str) -> None:
         if self.at_edge:
             return
         self.rows.append((turn, role, text))
         self.chars += len(role) + len(text)
-        if len(self.rows) > HELD_ROWS or self.chars > HELD_CHARS:
+        if len(self.rows) > self.most_rows or self.chars > HELD_CHARS:
             self.leave()
 
     def leave(self) -> None:
@@ -339,7 +339,7 @@ class _Held:
         return _result(whole, value, digest.sha.hexdigest())
 
 
-def _finish_whole(conv_type: pa.DataType):
+def _finish_whole(conv_type: pa.DataType, most_rows: int):
     """Results of conversations inside a range, and the ids, marked `at_edge`, of all others."""
     names = ["conv", "at_edge", *(part.split()[0] for part in RESULTS.split(", "))]
     kinds = [conv_type, pa.bool_(), *_KINDS]
@@ -358,7 +358,7 @@ def _finish_whole(conv_type: pa.DataType):
                         yield _as_batch(done, names, kinds)
                         done = []
                 first = held is None
-                held, current = _Held(), conv
+                held, current = _Held(most_rows), conv
                 if first:
                     held.leave()
             held.add(turn, role, text)
@@ -586,12 +586,17 @@ def _repair_cut(rows: DataFrame, kind: str, conv_type: pa.DataType) -> DataFrame
 
 
 def repair_conversations(
-    rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+    rows: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """One row for each conversation with rows: its faults, and the cheapest repair.
 
     `conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256`, where the
-    first has the name given.
+    first has the name given. A task holds at most `held_rows` rows of a conversation at once.
     """
     prepare_workers(rows.sparkSession)
     read = _read(rows, conv, turn, role, text)
@@ -601,7 +606,7 @@ def repair_conversations(
     finished = cut_lineage(
         ranged.sortWithinPartitions(*ORDER)
         .select("conv", "turn", "role", "text")
-        .mapInArrow(_finish_whole(conv_type), f"conv {kind}, at_edge boolean, {RESULTS}")
+        .mapInArrow(_finish_whole(conv_type, held_rows), f"conv {kind}, at_edge boolean, {RESULTS}")
     )
     whole = finished.filter("NOT at_edge").drop("at_edge")
     edges = finished.filter("at_edge").select(F.col("conv").alias("edge")).distinct()

@@ -17,6 +17,7 @@ from tripgrain.llm.divergence import divergence
 from tripgrain.llm.fingerprints import edited_neighbours, likeness
 from tripgrain.llm.html_text import extract_text
 from tripgrain.llm.licenses import scan_licenses
+from tripgrain.llm.ngram_join import jaccard_classes
 from tripgrain.llm.quality import fit_quality, grade_documents
 from tripgrain.llm.simhash import as_hex, near_duplicates
 from tripgrain.llm.suffix_index import remove_repeats
@@ -136,6 +137,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
 
@@ -184,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_ngram_join": op11_ngram_join,
     "op12_source_divergence": op12_source_divergence,
     "op13_conversation_repair": op13_conversation_repair,
 }
