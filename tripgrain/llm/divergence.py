@@ -33,7 +33,7 @@ from tripgrain.llm.columns import prepare_workers
 
 MIN_DOCUMENTS, TOP_TERMS, UNIT = 10, 10, 1_000_000_000
 # A task hands on its sums when they have so many terms or bytes.
-MAX_HELD_TERMS, MAX_HELD_BYTES = 300_000, 32 * 1024 * 1024
+MAX_HELD_TERMS, MAX_HELD_BYTES = 600_000, 32 * 1024 * 1024
 _ROWS = 50_000
 
 _LETTERS = bytes(range(ord("a"), ord("z") + 1))
@@ -50,20 +50,28 @@ def terms(text: bytes) -> list[bytes]:
 
 
 class _Sums:
-    """Frequencies and document counts by (lang, source)."""
+    """Frequencies and document counts by (lang, source).
+
+    A frequency is the number of documents plus what a document holds beyond one.
+    """
 
     def __init__(self):
         self.by_group: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        self.size = self.bytes = 0
+        self.size = self.bytes = self.read = 0
 
     def add(self, group: tuple[str, str], text: bytes) -> None:
         found = Counter(terms(text))
-        occurrences, documents = self.by_group.setdefault(group, (Counter(), Counter()))
-        new = found.keys() - occurrences.keys()
-        self.size += len(new)
-        self.bytes += sum(map(len, new))
-        occurrences.update(found)
+        documents, beyond = self.by_group.setdefault(group, (Counter(), Counter()))
+        before = len(documents)
         documents.update(found.keys())
+        for term, count in found.items():
+            if count > 1:
+                beyond[term] += count - 1
+        self.size += len(documents) - before
+        self.read += len(text)
+        if self.read >= MAX_HELD_BYTES:
+            self.read = 0
+            self.bytes = sum(sum(map(len, held)) for held, _ in self.by_group.values())
 
     @property
     def full(self) -> bool:
@@ -71,19 +79,21 @@ class _Sums:
 
     def batches(self):
         """The sums as rows; each group also has one row without a term."""
-        for (lang, source), (occurrences, documents) in self.by_group.items():
-            held = list(occurrences)
+        for (lang, source), (documents, beyond) in self.by_group.items():
+            terms_held, held, more = list(documents), list(documents.values()), beyond.get
+            occurrences = [count + more(term, 0) for term, count in documents.items()]
             for at in range(0, max(1, len(held)), _ROWS):
-                part = held[at : at + _ROWS]
+                part = slice(at, at + _ROWS)
                 lead = [None] if at == 0 else []
-                columns = {
-                    "lang": pa.array([lang] * (len(part) + len(lead)), pa.string()),
-                    "source": pa.array([source] * (len(part) + len(lead)), pa.string()),
-                    "term": pa.array(lead + part, pa.binary()),
-                    "occurrences": pa.array([0 for _ in lead] + [occurrences[t] for t in part], pa.int64()),
-                    "documents": pa.array([0 for _ in lead] + [documents[t] for t in part], pa.int64()),
-                }
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                rows = len(terms_held[part]) + len(lead)
+                arrays = [
+                    pa.array([lang], pa.string()).take(pa.array([0] * rows)),
+                    pa.array([source], pa.string()).take(pa.array([0] * rows)),
+                    pa.array(lead + terms_held[part], pa.binary()),
+                    pa.array([0 for _ in lead] + occurrences[part], pa.int64()),
+                    pa.array([0 for _ in lead] + held[part], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, [name.split()[0] for name in SUMS.split(", ")])
         self.__init__()
 
 
@@ -148,15 +158,16 @@ def divergence(
     in_lang = counted.filter("term IS NOT NULL").groupBy("lang", "term").agg(
         F.sum("occurrences").alias("lang_count"), F.sum("documents").alias("documents")
     )
-    vocabulary = in_lang.filter(F.col("documents") >= min_documents).drop("documents")
+    words_path = scratch_path(spark, "vocabulary")
+    in_lang.filter(F.col("documents") >= min_documents).drop("documents").write.parquet(words_path)
+    vocabulary = spark.read.parquet(words_path)
     kept_path = scratch_path(spark, "kept-terms")
     counted.drop("documents").join(vocabulary, ["lang", "term"]).write.parquet(kept_path)
     kept = spark.read.parquet(kept_path)
 
     # One row per language, and one per source.
-    langs = (
-        kept.select("lang", "term", "lang_count").distinct().groupBy("lang")
-        .agg(F.count(F.lit(1)).alias("V"), F.sum("lang_count").alias("lang_total"))
+    langs = vocabulary.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("V"), F.sum("lang_count").alias("lang_total")
     )
     totals = kept.groupBy("lang", "source").agg(
         F.sum("occurrences").alias("total"), F.count(F.lit(1)).alias("present")
