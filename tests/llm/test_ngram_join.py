@@ -60,14 +60,14 @@ def near_copies(seed, groups=14, copies=8, longest=400):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_against_all_pairs(spark, seed):
     rows = near_copies(seed)
     rows += [(1000, None), (1001, ""), (1002, " \t\n"), (None, rows[3][1]), (1003, rows[3][1].upper()), (1003, rows[3][1])]
     assert classes(spark, rows) == plain_classes(rows)
 
 
-@pytest.mark.parametrize("percent", [50, 30])
+@pytest.mark.parametrize("percent", [40])
 def test_sets_with_too_few_tokens_are_dealt_out_again(spark, percent):
     rows = near_copies(7, groups=8, copies=6, longest=90)
     ways = {g.tries_of(g.shingle_hashes(text), percent) for _, text in rows}
@@ -77,12 +77,13 @@ def test_sets_with_too_few_tokens_are_dealt_out_again(spark, percent):
 
 def test_hot_tiles(spark, monkeypatch):
     """A passage in hundreds of short texts, and one large group of near copies, in many cells."""
-    monkeypatch.setattr(g, "CELL_BYTES", 4096)
+    monkeypatch.setattr(g, "CELL_BYTES", 2048)
+    monkeypatch.setattr(g, "FIRST_PAIRS", 1)
     pick = random.Random(5)
     passage = " ".join(f"p{i}" for i in range(12))
-    rows = [(i, f"{passage} a{pick.randint(0, 30)} b{pick.randint(0, 3)}") for i in range(200)]
+    rows = [(i, f"{passage} a{pick.randint(0, 30)} b{pick.randint(0, 3)}") for i in range(90)]
     base = [f"q{i}" for i in range(60)]
-    for i in range(200, 420):
+    for i in range(90, 200):
         words = list(base)
         for _ in range(pick.randint(0, 2)):
             words[pick.randrange(60)] = f"z{pick.randint(0, 3000)}"

@@ -3,22 +3,25 @@
 A document is the set of its distinct shingles, as sorted 64-bit hashes. Two sets of a and b hashes
 whose Jaccard similarity is p percent or more differ in at most (a + b)(100 - p)/(100 + p) hashes.
 
-*Tiles.* Sizes are cut in bands that double, and each band cuts the range of hashes into parts,
-with about three hashes a part at the band's upper end. A part that is not empty is a token: its band, place and
-content. Every differing hash spoils one part, so of more tokens than differences some are shared, and with the tokens in the
-order of their places, a shared one stands among the first D + 1 of either set, D being the
-differences that its size allows. A tile is the documents of a band that have such a token in
-common. A set is in the tiles of its own band, and in those of the next if larger partners may be
-there. The few sets that have too few tokens for that argument are dealt out again by another hash.
-
-*Bitmaps.* Each set has a bitmap of two to four bits a hash. Every bit in which two bitmaps differ
-stands for at least one hash that only one set has, so counting them bounds the overlap from above.
-Only pairs that the bound lets pass are intersected, by search in the sorted hashes.
-
-Only links between components matter. First each tile's documents are compared with its first one.
-Then in tiles that still hold several components, those outside the largest are compared with all
-others. Tiles of over `CELL_BYTES` of hashes are dealt into pairs of blocks, which are cells of
-bounded size, so that no tile has to fit a task and no pair is left out.
+*Tiles.* Sizes are cut in bands that double, and each band cuts the range of hashes into parts, with
+about three hashes a part at the band's upper end. A part that is not empty is a token: its band,
+place and content. Every differing hash spoils one part, so of more tokens than differences some
+are shared, and with the tokens in the order of their places, a shared one stands among the first
+D + 1 of either set, D being the differences that its size allows. A tile is the documents of a band
+that have such a token in common. A set is in the tiles of its own band, and in those of the next
+if larger partners may be there. The few sets that have too few tokens for that argument are dealt
+out again by another hash.
+
+*Bitmaps.* Each set has a bitmap of one to two bits a hash, in which every hash flips its bit. A bit in
+which two bitmaps differ stands for at least one hash that only one set has, so counting such bits
+bounds the overlap from above. Only pairs that the bound lets pass are intersected, by search in
+the sorted hashes, and hashes are listed only for sets in such a pair.
+
+Only links between components matter. First each tile's sets are compared with its first one. Then,
+in tiles that still hold several components, every set outside the largest is paired with the most
+promising sets of each other component, and with more of them in further rounds, until links are
+found or no pair is left. Tiles of over `CELL_BYTES` of bitmaps are dealt into pairs of blocks, which
+are cells of bounded size, so that no tile has to fit a task and no pair is left out.
 
 Defined results: words are maximal runs without ASCII white space, A-Z lowered; fewer words than a
 shingle has are one shingle; a NULL text or one without words is the empty set and linked with
@@ -44,6 +47,10 @@ from tripgrain.llm.components import connected_components
 
 SHINGLE_WORDS, MIN_PERCENT = 5, 80
 LEAST_PARTS, HASHES_A_PART = 64, 3
+# Pairs of a set with each other component in the first round, and times as many in each next one.
+FIRST_PAIRS, MORE_PAIRS = 16, 8
+# Ids of sets to list are broadcast up to this number, 16 MB, and joined by shuffle beyond.
+MAX_BROADCAST_IDS = 1_000_000
 # After so many hashes a set is dealt out by single hashes, which always are tokens enough.
 MAX_TRIES = 8
 CELL_BYTES = 16 * 1024 * 1024
@@ -69,13 +76,15 @@ def shingle_hashes(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.empty(0, np.uint64)
-    hashed = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    digests = b"".join(map(xxhash.xxh64_digest, found))
+    hashed = np.frombuffer(digests, ">u8").astype(np.uint64)
     width = min(words, len(found))
     count = len(found) - width + 1
     chained = _mix(hashed[:count])
     for place in range(1, width):
         chained = _mix(chained * _ODD + hashed[place : place + count])
-    return np.unique(chained)
+    chained.sort()
+    return chained[np.concatenate(([True], chained[1:] != chained[:-1]))]
 
 
 def set_id(hashes: np.ndarray) -> int:
@@ -118,18 +127,17 @@ def tile_keys(hashes: np.ndarray, percent: int, tries: int) -> np.ndarray:
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """The signature: 64-bit words in which the bit of every hash, by its low bits, is set."""
-    width = max(64, 2 << band_of(len(hashes)))
-    bits = np.zeros(width, bool)
-    bits[hashes & np.uint64(width - 1)] = True
-    return np.packbits(bits, bitorder="little").view(np.uint64)
+    """The signature: 64-bit words in which every hash flips the bit of its low bits."""
+    width = max(64, 1 << band_of(len(hashes)))
+    flips = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((flips & 1).astype(bool), bitorder="little").view(np.uint64)
 
 
 def folded(words: np.ndarray, length: int) -> np.ndarray:
     """A bitmap with its halves laid over each other until it has `length` words."""
     while len(words) > length:
         half = len(words) // 2
-        words = words[:half] | words[half:]
+        words = words[:half] ^ words[half:]
     return words
 
 
@@ -156,23 +164,27 @@ def _unsigned(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
+LONGS = pa.list_(pa.int64())
+
+
 def _sized(text: Column, words: int, percent: int) -> Column:
-    """`node, size, tries` of the set of a text."""
+    """`node, size, tries, bits` of the set of a text."""
 
     def run(texts: pa.Array) -> pa.Array:
         rows = []
         for text in texts:
             hashes = shingle_hashes(text.as_py(), words)
             tries = tries_of(hashes, percent) if len(hashes) else 0
-            rows.append((set_id(hashes), len(hashes), tries))
-        node, size, tries = zip(*rows) if rows else ((), (), ())
-        arrays = [pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(tries, pa.int32())]
-        return pa.StructArray.from_arrays(arrays, ["node", "size", "tries"])
+            rows.append((set_id(hashes), len(hashes), tries, bitmap(hashes).view(np.int64)))
+        columns = zip(*rows) if rows else ((), (), (), ())
+        kinds = (pa.int64(), pa.int64(), pa.int32(), LONGS)
+        arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+        return pa.StructArray.from_arrays(arrays, ["node", "size", "tries", "bits"])
 
-    return F.arrow_udf(run, "struct<node:bigint,size:bigint,tries:int>")(text)
+    return F.arrow_udf(run, "struct<node:bigint,size:bigint,tries:int,bits:array<bigint>>")(text)
 
 
-def _keyed(texts: DataFrame, words: int, percent: int, tries: int) -> DataFrame:
+def _keyed(documents: DataFrame, words: int, percent: int, tries: int) -> DataFrame:
     """`key, node, own`: the tiles of every set; `own` tells sets that `tries` is the way of."""
 
     def run(batches):
@@ -202,7 +214,7 @@ def _keyed(texts: DataFrame, words: int, percent: int, tries: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "own"])
 
-    return texts.select("text").mapInArrow(run, "key bigint, node bigint, own boolean")
+    return documents.select("text").mapInArrow(run, "key bigint, node bigint, own boolean")
 
 
 def _shared_runs(batches):
@@ -238,163 +250,220 @@ def _shared_runs(batches):
         )
 
 
-def _compared(percent: int):
-    """True for pairs of sets that are similar enough: first by their bitmaps, then exactly."""
+def _may_be_similar(percent: int):
+    """True for pairs that sizes and bitmaps do not rule out."""
 
-    def run(hashes_a, bits_a, hashes_b, bits_b):
+    def run(size_a, bits_a, size_b, bits_b):
+        rows = zip(size_a.to_pylist(), bits_a, size_b.to_pylist(), bits_b)
+        found = [
+            enough(overlap_bound(a, _unsigned(in_a.values), b, _unsigned(in_b.values)), a, b, percent)
+            for a, in_a, b, in_b in rows
+        ]
+        return pa.array(found, pa.bool_())
+
+    return F.arrow_udf(run, "boolean")
+
+
+def _is_similar(percent: int):
+    def run(hashes_a, hashes_b):
         found = []
-        for pair in zip(hashes_a, bits_a, hashes_b, bits_b):
-            a, seen_a, b, seen_b = (_unsigned(value.values) for value in pair)
-            bound = overlap_bound(len(a), seen_a, len(b), seen_b)
-            found.append(
-                enough(bound, len(a), len(b), percent)
-                and enough(overlap(a, b), len(a), len(b), percent)
-            )
+        for pair in zip(hashes_a, hashes_b):
+            a, b = (_unsigned(value.values) for value in pair)
+            found.append(enough(overlap(a, b), len(a), len(b), percent))
         return pa.array(found, pa.bool_())
 
     return F.arrow_udf(run, "boolean")
 
 
-def cell_links(sets: list[tuple[int, int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
-    """Links of a cell that join its components as all its links would.
+class Cell:
+    """The sets of a tile, or of two of its blocks, in the order of their sizes."""
 
-    `sets` are `node, root, block, hashes`. Sets of one root are joined already, and in a cell of
-    two blocks only sets of different blocks are compared, as others meet elsewhere.
-    """
-    sets = sorted(sets, key=lambda row: (len(row[3]), row[0]))
-    sizes = np.array([len(row[3]) for row in sets])
-    blocks = np.array([row[2] for row in sets])
-    mixed = blocks.min() != blocks.max()
-    maps = [bitmap(row[3]) for row in sets]
-    length = min(map(len, maps))
-    bits = np.stack([folded(words, length) for words in maps])
-    _, root, counts = np.unique([row[1] for row in sets], return_inverse=True, return_counts=True)
-    links = []
-    for at in np.flatnonzero(root != counts.argmax()).tolist():
-        low = np.searchsorted(sizes, -(-percent * sizes[at] // 100))
-        high = np.searchsorted(sizes, 100 * sizes[at] // percent, side="right")
+    def __init__(self, sets: list[tuple[int, int, int, int, np.ndarray]], percent: int):
+        """`sets` are `node, root, block, size, bits`."""
+        sets = sorted(sets, key=lambda row: (row[3], row[0]))
+        self.percent = percent
+        self.nodes = np.array([row[0] for row in sets])
+        self.roots, self.root, self.counts = np.unique(
+            [row[1] for row in sets], return_inverse=True, return_counts=True
+        )
+        self.blocks = np.array([row[2] for row in sets])
+        self.mixed = self.blocks.min() != self.blocks.max()
+        self.sizes = np.array([row[3] for row in sets])
+        length = min(len(row[4]) for row in sets)
+        self.bits = np.stack([folded(row[4], length) for row in sets])
+
+    def near(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sets of other components that may be similar, and the bits in which they differ.
+
+        In a cell of two blocks only sets of different blocks are compared; others meet elsewhere.
+        """
+        size, percent = self.sizes[at], self.percent
+        low = np.searchsorted(self.sizes, -(-percent * size // 100))
+        high = np.searchsorted(self.sizes, 100 * size // percent, side="right")
         near = np.arange(low, high)
-        near = near[root[low:high] != root[at]]
-        if mixed:
-            near = near[blocks[near] != blocks[at]]
-        differing = np.bitwise_count(bits[near] ^ bits[at]).sum(axis=1, dtype=np.int64)
-        total = sizes[near] + sizes[at]
-        near = near[(total - differing) // 2 * (100 + percent) >= percent * total]
-        for other in near.tolist():
-            if root[other] == root[at]:
-                continue
-            common = overlap(sets[at][3], sets[other][3])
-            if enough(common, sizes[at], sizes[other], percent):
-                links.append((sets[at][0], sets[other][0]))
-                root[root == root[at]] = root[other]
-    return links
-
-
-def _cells(percent: int):
-    """Links from rows `key, i, j, node, root, block, hashes` sorted by cell."""
+        near = near[self.root[low:high] != self.root[at]]
+        if self.mixed:
+            near = near[self.blocks[near] != self.blocks[at]]
+        differing = np.bitwise_count(self.bits[near] ^ self.bits[at]).sum(axis=1, dtype=np.int64)
+        total = self.sizes[near] + size
+        passed = (total - differing) // 2 * (100 + percent) >= percent * total
+        return near[passed], differing[passed]
+
+    def live(self) -> list[int]:
+        """Sets that may be similar to another one."""
+        return [int(node) for at, node in enumerate(self.nodes) if len(self.near(at)[0])]
+
+    def pairs(self, most: int) -> list[tuple[int, int, bool]]:
+        """For each set outside the largest component its `most` nearest of each other one.
+
+        With them stands whether there were more of that component.
+        """
+        found = []
+        for at in np.flatnonzero(self.root != self.counts.argmax()).tolist():
+            near, differing = self.near(at)
+            order = np.lexsort((self.nodes[near], differing, self.root[near]))
+            near = near[order]
+            roots = self.root[near]
+            starts = np.flatnonzero(np.concatenate(([True], roots[1:] != roots[:-1]))) if len(near) else near
+            place = np.arange(len(near)) - np.repeat(starts, np.diff(np.append(starts, len(near))))
+            sizes = np.bincount(roots, minlength=len(self.roots))[roots]
+            found += [
+                (int(self.nodes[at]), int(self.nodes[other]), bool(of > most))
+                for other, nth, of in zip(near.tolist(), place.tolist(), sizes.tolist())
+                if nth < most
+            ]
+        return found
+
+
+def _in_cells(make, names: list[str], kinds: list):
+    """Rows that `make` gives of each cell, from rows sorted by cell."""
 
     def run(batches):
         cell, held = None, []
 
         def found():
-            pairs = cell_links(held, percent) if len(held) > 1 else []
-            a, b = zip(*pairs) if pairs else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            rows = make(held) if len(held) > 1 else []
+            columns = list(zip(*rows)) if rows else [()] * len(names)
+            arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+            return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
-            numbers = zip(*(column.to_pylist() for column in batch.columns[:6]))
-            for (key, i, j, node, root, block), hashes in zip(numbers, batch.column(6)):
+            numbers = zip(*(column.to_pylist() for column in batch.columns[:7]))
+            for (key, i, j, *row), bits in zip(numbers, batch.column(7)):
                 if cell != (key, i, j):
                     if held:
                         yield found()
                     cell, held = (key, i, j), []
-                held.append((node, root, block, _unsigned(hashes.values).copy()))
+                held.append((*row, _unsigned(bits.values).copy()))
         if held:
             yield found()
 
     return run
 
 
-def _with_set(rows: DataFrame, sets: DataFrame, node: str, suffix: str) -> DataFrame:
-    named = sets.select(
-        F.col("node").alias(node), F.col("hashes").alias(f"hashes{suffix}"), F.col("bits").alias(f"bits{suffix}")
+def _cells(tiles: DataFrame, facts: DataFrame) -> DataFrame:
+    """Tiles with several roots, dealt into cells; from `key, node, root` and `node, size, bits`."""
+    held = tiles.join(facts, "node")
+    width = F.sum(F.size("bits").cast("bigint") * 8).alias("width")
+    several = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), width)
+    blocks = several.filter("low < high").select(
+        "key", F.ceil(F.col("width") / CELL_BYTES).cast("bigint").alias("blocks")
     )
-    return rows.join(named, node)
-
+    # Every two blocks meet in a cell, and each block meets itself.
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
+    dealt = held.join(blocks, "key").select("key", "node", "root", "size", "bits", block, "blocks")
+    cells = dealt.select("*", other).select(
+        "key",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "node", "root", "block", "size", "bits",
+    )
+    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-def _sets(texts: DataFrame, tiles: DataFrame, words: int) -> DataFrame:
-    """`node, hashes, bits` of the sets that are in a tile with others."""
 
-    def node_of(texts: pa.Array) -> pa.Array:
-        return pa.array([set_id(shingle_hashes(text.as_py(), words)) for text in texts], pa.int64())
+def _listed(documents: DataFrame, hashed: DataFrame, live: DataFrame, words: int) -> DataFrame:
+    """`node, hashes` of live sets, from `id, text` of documents."""
 
-    def listed(batches):
+    def run(batches):
         for batch in batches:
-            sets = [shingle_hashes(text.as_py(), words) for text in batch.column(1)]
-            hashes = pa.array([values.view(np.int64) for values in sets], pa.list_(pa.int64()))
-            bits = pa.array([bitmap(values).view(np.int64) for values in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), hashes, bits], ["node", "hashes", "bits"])
-
-    # Copies are combined before the shuffle.
-    once = (
-        texts.select(F.arrow_udf(node_of, "bigint")(F.col("text")).alias("node"), "text")
-        .groupBy("node").agg(F.first("text").alias("text"))
-    )
-    wanted = tiles.select("node").distinct()
-    return once.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(
-        listed, "node bigint, hashes array<bigint>, bits array<bigint>"
-    )
-
+            sets = [shingle_hashes(text.as_py(), words) for text in batch.column(0)]
+            nodes = pa.array([set_id(values) for values in sets], pa.int64())
+            hashes = pa.array([values.view(np.int64) for values in sets], LONGS)
+            yield pa.RecordBatch.from_arrays([nodes, hashes], ["node", "hashes"])
+
+    # One document for each set. Others that have its id are hashed, too, and left out after.
+    ids = cut_lineage(hashed.join(live, "node").groupBy("node").agg(F.min("id").alias("one"))).select("one").distinct()
+    if ids.count() <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = documents.join(ids, F.col("id").eqNullSafe(F.col("one")), "left_semi").select("text")
+    listed = texts.mapInArrow(run, "node bigint, hashes array<bigint>")
+    return listed.join(live, "node", "left_semi").dropDuplicates(["node"])
+
+
+def similar_links(
+    documents: DataFrame, hashed: DataFrame, tries: list[int], words: int, percent: int
+) -> DataFrame:
+    """Links `a, b` between sets whose components are those of all pairs that are similar enough.
 
-def similar_links(texts: DataFrame, tries: list[int], words: int, percent: int) -> DataFrame:
-    """Links `a, b` between sets whose components are those of all pairs that are similar enough."""
-    spark = texts.sparkSession
+    From `id, text` of documents and `id, node, size, bits` of their sets.
+    """
+    spark = documents.sparkSession
     parts = []
     for way in tries:
-        keyed = _keyed(texts, words, percent, way)
+        keyed = _keyed(documents, words, percent, way)
         if way:
             keyed = keyed.join(keyed.filter("own").select("key").distinct(), "key", "left_semi")
         dealt = keyed.select("key", "node").repartition("key").sortWithinPartitions("key", "node")
         parts.append(dealt.mapInArrow(_shared_runs, "key bigint, node bigint, center bigint"))
     tiles_path = scratch_path(spark, "ngram-tiles")
-    reduce(DataFrame.unionByName, parts).write.parquet(tiles_path)
+    reduce(DataFrame.unionByName, parts).select("key", "node").write.parquet(tiles_path)
     tiles = spark.read.parquet(tiles_path)
+    facts = hashed.groupBy("node").agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
+
+    # Sets that the bitmaps of a tile leave a partner, and the tiles of these.
+    alone = _cells(tiles.withColumn("root", F.col("node")), facts)
+    found = alone.mapInArrow(
+        _in_cells(lambda sets: [(node,) for node in Cell(sets, percent).live()], ["node"], [pa.int64()]),
+        "node bigint",
+    )
+    live = cut_lineage(found.distinct())
+    facts = cut_lineage(facts.join(live, "node", "left_semi"))
+    tiles = cut_lineage(tiles.join(live, "node", "left_semi"))
     sets_path = scratch_path(spark, "ngram-sets")
-    _sets(texts, tiles, words).write.parquet(sets_path)
+    _listed(documents, hashed, live, words).write.parquet(sets_path)
     sets = spark.read.parquet(sets_path)
 
-    similar = _compared(percent)
-    first = tiles.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    both = _with_set(_with_set(first, sets, "a", "_a"), sets, "b", "_b")
-    near = cut_lineage(both.filter(similar("hashes_a", "bits_a", "hashes_b", "bits_b")).select("a", "b"))
-
-    joined = connected_components(near).withColumnRenamed("root", "known_root")
-    rooted = tiles.select("key", "node").join(joined, "node", "left").select(
-        "key", "node", F.coalesce("known_root", "node").alias("root")
-    )
-    sizes = sets.select("node", F.size("hashes").cast("bigint").alias("size"))
-    held = cut_lineage(rooted.join(sizes, "node"))
-    open_tiles = held.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.sum("size").alias("total")
-    ).filter("low < high").select(
-        "key", F.ceil(F.col("total") * 8 / CELL_BYTES).cast("bigint").alias("blocks")
-    )
-    # Every two blocks meet in a cell, and each block meets itself.
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
-    cells = held.join(open_tiles, "key").select("key", "node", "root", block.alias("block"), "blocks").select(
-        "*", others
-    ).select(
-        "key", "node", "root", "block",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-    )
-    dealt = cells.join(sets.select("node", "hashes"), "node").repartition("key", "i", "j").sortWithinPartitions(
-        "key", "i", "j"
-    )
-    more = dealt.select("key", "i", "j", "node", "root", "block", "hashes").mapInArrow(
-        _cells(percent), "a bigint, b bigint"
-    )
-    return near.unionByName(more)
+    def verified(pairs: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("hashes").alias(f"hashes_{end}")), end)
+        return cut_lineage(pairs.filter(_is_similar(percent)("hashes_a", "hashes_b")).select("a", "b"))
+
+    first = tiles.groupBy("key").agg(F.min("node").alias("a")).join(tiles, "key")
+    pairs = first.filter("a < node").select("a", F.col("node").alias("b")).distinct()
+    for end in ("a", "b"):
+        pairs = pairs.join(facts.toDF(end, f"size_{end}", f"bits_{end}"), end)
+    links = verified(pairs.filter(_may_be_similar(percent)("size_a", "bits_a", "size_b", "bits_b")).select("a", "b"))
+
+    most = FIRST_PAIRS
+    while True:
+        joined = connected_components(links).withColumnRenamed("root", "known_root")
+        rooted = tiles.join(joined, "node", "left").select(
+            "key", "node", F.coalesce("known_root", "node").alias("root")
+        )
+        make = _in_cells(
+            lambda sets, most=most: Cell(sets, percent).pairs(most),
+            ["a", "b", "more"], [pa.int64(), pa.int64(), pa.bool_()],
+        )
+        promising = cut_lineage(
+            _cells(rooted, facts).mapInArrow(make, "a bigint, b bigint, more boolean")
+            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .agg(F.max("more").alias("more"))
+        )
+        links = links.unionByName(verified(promising.select("a", "b")))
+        if promising.filter("more").isEmpty():
+            return links
+        most *= MORE_PAIRS
 
 
 def jaccard_classes(
@@ -409,17 +478,15 @@ def jaccard_classes(
     Two documents are linked if their sets have a Jaccard similarity of `min_percent` or more.
     """
     prepare_workers(documents.sparkSession)
-    texts = documents.select(whole_text(text).alias("text"))
+    read = documents.select(F.col(f"`{id_column}`").alias("id"), whole_text(text).alias("text"))
     hashed = cut_lineage(
-        documents.select(
-            F.col(f"`{id_column}`").alias("id"),
-            _sized(whole_text(text), shingle_words, min_percent).alias("set"),
-        ).select("id", "set.*")
+        read.select("id", _sized(F.col("text"), shingle_words, min_percent).alias("set")).select("id", "set.*")
     )
     # A handful of numbers at most.
-    tries = sorted(row["tries"] for row in hashed.select("tries").distinct().collect())
+    tries = {row["tries"] for row in hashed.select("tries").distinct().collect()}
     entries = hashed.filter("size > 0")
-    roots = connected_components(similar_links(texts, sorted({0, *tries}), shingle_words, min_percent))
+    links = similar_links(read, entries, sorted({0, *tries}), shingle_words, min_percent)
+    roots = connected_components(links)
     smallest = entries.groupBy("node").agg(F.min("id").alias("smallest"))
     placed = cut_lineage(
         smallest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
