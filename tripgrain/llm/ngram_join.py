@@ -17,10 +17,10 @@ which two bitmaps differ stands for at least one hash that only one set has, so
 bounds the overlap from above. Only pairs that the bound lets pass are intersected, by search in
 the sorted hashes, and hashes are listed only for sets in such a pair.
 
-Only links between components matter. First each tile's sets are compared with its first one. Then,
-in tiles that still hold several components, every set outside the largest is paired with the most
-promising sets of each other component, and with more of them in further rounds, until links are
-found or no pair is left. Tiles of over `CELL_BYTES` of bitmaps are dealt into pairs of blocks, which
+Only links between components matter. First each tile's sets are compared with its first and its
+last one, which settles tiles of up to three. Then, among the others of tiles that hold several
+components, every set outside the largest is paired with the most promising sets of each other
+component, and with more of them in further rounds, until links are found or no pair is left. Tiles of over `CELL_BYTES` of bitmaps are dealt into pairs of blocks, which
 are cells of bounded size, so that no tile has to fit a task and no pair is left out.
 
 Defined results: words are maximal runs without ASCII white space, A-Z lowered; fewer words than a
@@ -49,6 +49,8 @@ SHINGLE_WORDS, MIN_PERCENT = 5, 80
 LEAST_PARTS, HASHES_A_PART = 64, 3
 # Pairs of a set with each other component in the first round, and times as many in each next one.
 FIRST_PAIRS, MORE_PAIRS = 16, 8
+# Cells of more sets are compared as arrays.
+FEW = 24
 # Ids of sets to list are broadcast up to this number, 16 MB, and joined by shuffle beyond.
 MAX_BROADCAST_IDS = 1_000_000
 # After so many hashes a set is dealt out by single hashes, which always are tokens enough.
@@ -126,11 +128,11 @@ def tile_keys(hashes: np.ndarray, percent: int, tries: int) -> np.ndarray:
     return np.concatenate([tokens(hashes, band, tries)[:first] for band in bands])
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """The signature: 64-bit words in which every hash flips the bit of its low bits."""
+def bitmap(hashes: np.ndarray) -> bytes:
+    """The signature, in which every hash flips the bit of its low bits."""
     width = max(64, 1 << band_of(len(hashes)))
     flips = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width)
-    return np.packbits((flips & 1).astype(bool), bitorder="little").view(np.uint64)
+    return np.packbits((flips & 1).astype(bool), bitorder="little").tobytes()
 
 
 def folded(words: np.ndarray, length: int) -> np.ndarray:
@@ -141,10 +143,19 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
     return words
 
 
-def overlap_bound(size_a: int, bits_a: np.ndarray, size_b: int, bits_b: np.ndarray) -> int:
-    length = min(len(bits_a), len(bits_b))
-    differing = np.bitwise_count(folded(bits_a, length) ^ folded(bits_b, length)).sum()
-    return (size_a + size_b - int(differing)) // 2
+def differing_bits(a: bytes, b: bytes) -> int:
+    """In how many bits two bitmaps differ, the longer one folded."""
+    if len(a) < len(b):
+        a, b = b, a
+    one, other, width = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(a)
+    while width > 8 * len(b):
+        width //= 2
+        one = one >> width ^ one & (1 << width) - 1
+    return (one ^ other).bit_count()
+
+
+def overlap_bound(size_a: int, bits_a: bytes, size_b: int, bits_b: bytes) -> int:
+    return (size_a + size_b - differing_bits(bits_a, bits_b)) // 2
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -175,13 +186,13 @@ def _sized(text: Column, words: int, percent: int) -> Column:
         for text in texts:
             hashes = shingle_hashes(text.as_py(), words)
             tries = tries_of(hashes, percent) if len(hashes) else 0
-            rows.append((set_id(hashes), len(hashes), tries, bitmap(hashes).view(np.int64)))
+            rows.append((set_id(hashes), len(hashes), tries, bitmap(hashes)))
         columns = zip(*rows) if rows else ((), (), (), ())
-        kinds = (pa.int64(), pa.int64(), pa.int32(), LONGS)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
         arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
         return pa.StructArray.from_arrays(arrays, ["node", "size", "tries", "bits"])
 
-    return F.arrow_udf(run, "struct<node:bigint,size:bigint,tries:int,bits:array<bigint>>")(text)
+    return F.arrow_udf(run, "struct<node:bigint,size:bigint,tries:int,bits:binary>")(text)
 
 
 def _keyed(documents: DataFrame, words: int, percent: int, tries: int) -> DataFrame:
@@ -250,16 +261,18 @@ def _shared_runs(batches):
         )
 
 
+def may_be_similar(size_a: int, bits_a: bytes, size_b: int, bits_b: bytes, percent: int) -> bool:
+    """False for pairs that sizes or bitmaps rule out."""
+    small, large = sorted((size_a, size_b))
+    return 100 * small >= percent * large and enough(
+        overlap_bound(size_a, bits_a, size_b, bits_b), size_a, size_b, percent
+    )
+
+
 def _may_be_similar(percent: int):
-    """True for pairs that sizes and bitmaps do not rule out."""
-
-    def run(size_a, bits_a, size_b, bits_b):
-        rows = zip(size_a.to_pylist(), bits_a, size_b.to_pylist(), bits_b)
-        found = [
-            enough(overlap_bound(a, _unsigned(in_a.values), b, _unsigned(in_b.values)), a, b, percent)
-            for a, in_a, b, in_b in rows
-        ]
-        return pa.array(found, pa.bool_())
+    def run(*columns):
+        rows = zip(*(column.to_pylist() for column in columns))
+        return pa.array([may_be_similar(*row, percent) for row in rows], pa.bool_())
 
     return F.arrow_udf(run, "boolean")
 
@@ -278,60 +291,72 @@ def _is_similar(percent: int):
 class Cell:
     """The sets of a tile, or of two of its blocks, in the order of their sizes."""
 
-    def __init__(self, sets: list[tuple[int, int, int, int, np.ndarray]], percent: int):
+    def __init__(self, sets: list[tuple[int, int, int, int, bytes]], percent: int):
         """`sets` are `node, root, block, size, bits`."""
-        sets = sorted(sets, key=lambda row: (row[3], row[0]))
+        self.sets = sorted(sets, key=lambda row: (row[3], row[0]))
         self.percent = percent
-        self.nodes = np.array([row[0] for row in sets])
-        self.roots, self.root, self.counts = np.unique(
-            [row[1] for row in sets], return_inverse=True, return_counts=True
-        )
-        self.blocks = np.array([row[2] for row in sets])
-        self.mixed = self.blocks.min() != self.blocks.max()
-        self.sizes = np.array([row[3] for row in sets])
-        length = min(len(row[4]) for row in sets)
-        self.bits = np.stack([folded(row[4], length) for row in sets])
-
-    def near(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+        self.nodes, roots, blocks, sizes, bits = map(list, zip(*self.sets))
+        places = {root: place for place, root in enumerate(sorted(set(roots)))}
+        self.root = [places[root] for root in roots]
+        self.counts = [self.root.count(place) for place in places.values()] if len(places) < 9 else np.bincount(self.root).tolist()
+        self.mixed = min(blocks) != max(blocks)
+        self.many = len(sets) > FEW
+        if self.many:
+            self.roots, self.blocks, self.sizes = np.array(self.root), np.array(blocks), np.array(sizes)
+            length = min(map(len, bits)) // 8
+            words = [np.frombuffer(own, np.uint64) for own in bits]
+            self.bits = np.stack([folded(own, length) for own in words])
+
+    def near(self, at: int) -> list[tuple[int, int]]:
         """Sets of other components that may be similar, and the bits in which they differ.
 
         In a cell of two blocks only sets of different blocks are compared; others meet elsewhere.
         """
+        if self.many:
+            return self._near_of_many(at)
+        _, _, block, size, bits = self.sets[at]
+        found = []
+        for other, (_, _, its_block, its_size, its_bits) in enumerate(self.sets):
+            if self.root[other] == self.root[at] or (self.mixed and its_block == block):
+                continue
+            if 100 * min(size, its_size) >= self.percent * max(size, its_size):
+                differing = differing_bits(bits, its_bits)
+                if enough((size + its_size - differing) // 2, size, its_size, self.percent):
+                    found.append((other, differing))
+        return found
+
+    def _near_of_many(self, at: int) -> list[tuple[int, int]]:
         size, percent = self.sizes[at], self.percent
         low = np.searchsorted(self.sizes, -(-percent * size // 100))
         high = np.searchsorted(self.sizes, 100 * size // percent, side="right")
         near = np.arange(low, high)
-        near = near[self.root[low:high] != self.root[at]]
+        near = near[self.roots[low:high] != self.roots[at]]
         if self.mixed:
             near = near[self.blocks[near] != self.blocks[at]]
         differing = np.bitwise_count(self.bits[near] ^ self.bits[at]).sum(axis=1, dtype=np.int64)
         total = self.sizes[near] + size
         passed = (total - differing) // 2 * (100 + percent) >= percent * total
-        return near[passed], differing[passed]
+        return list(zip(near[passed].tolist(), differing[passed].tolist()))
 
     def live(self) -> list[int]:
         """Sets that may be similar to another one."""
-        return [int(node) for at, node in enumerate(self.nodes) if len(self.near(at)[0])]
+        return [node for at, node in enumerate(self.nodes) if self.near(at)]
 
     def pairs(self, most: int) -> list[tuple[int, int, bool]]:
         """For each set outside the largest component its `most` nearest of each other one.
 
         With them stands whether there were more of that component.
         """
-        found = []
-        for at in np.flatnonzero(self.root != self.counts.argmax()).tolist():
-            near, differing = self.near(at)
-            order = np.lexsort((self.nodes[near], differing, self.root[near]))
-            near = near[order]
-            roots = self.root[near]
-            starts = np.flatnonzero(np.concatenate(([True], roots[1:] != roots[:-1]))) if len(near) else near
-            place = np.arange(len(near)) - np.repeat(starts, np.diff(np.append(starts, len(near))))
-            sizes = np.bincount(roots, minlength=len(self.roots))[roots]
-            found += [
-                (int(self.nodes[at]), int(self.nodes[other]), bool(of > most))
-                for other, nth, of in zip(near.tolist(), place.tolist(), sizes.tolist())
-                if nth < most
-            ]
+        found, largest = [], self.counts.index(max(self.counts))
+        for at, root in enumerate(self.root):
+            if root == largest:
+                continue
+            by_root: dict[int, list[tuple[int, int]]] = {}
+            for other, differing in self.near(at):
+                by_root.setdefault(self.root[other], []).append((differing, self.nodes[other]))
+            for others in by_root.values():
+                more = len(others) > most
+                found += [(self.nodes[at], other, more) for _, other in sorted(others)[:most]]
         return found
 
 
@@ -348,13 +373,13 @@ def _in_cells(make, names: list[str], kinds: list):
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
-            numbers = zip(*(column.to_pylist() for column in batch.columns[:7]))
-            for (key, i, j, *row), bits in zip(numbers, batch.column(7)):
+            numbers = zip(*(column.to_pylist() for column in batch.columns))
+            for key, i, j, *row in numbers:
                 if cell != (key, i, j):
                     if held:
                         yield found()
                     cell, held = (key, i, j), []
-                held.append((*row, _unsigned(bits.values).copy()))
+                held.append(tuple(row))
         if held:
             yield found()
 
@@ -364,7 +389,7 @@ def _in_cells(make, names: list[str], kinds: list):
 def _cells(tiles: DataFrame, facts: DataFrame) -> DataFrame:
     """Tiles with several roots, dealt into cells; from `key, node, root` and `node, size, bits`."""
     held = tiles.join(facts, "node")
-    width = F.sum(F.size("bits").cast("bigint") * 8).alias("width")
+    width = F.sum(F.octet_length("bits").cast("bigint")).alias("width")
     several = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), width)
     blocks = several.filter("low < high").select(
         "key", F.ceil(F.col("width") / CELL_BYTES).cast("bigint").alias("blocks")
@@ -421,15 +446,30 @@ def similar_links(
     tiles = spark.read.parquet(tiles_path)
     facts = hashed.groupBy("node").agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
 
-    # Sets that the bitmaps of a tile leave a partner, and the tiles of these.
-    alone = _cells(tiles.withColumn("root", F.col("node")), facts)
+    # Every tile's first and last set against all of it, and what is between them.
+    ends = cut_lineage(
+        tiles.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n"))
+    )
+    inside = tiles.join(ends, "key")
+    pairs = inside.filter("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(
+        inside.filter("low < node AND node < high").select(F.col("node").alias("a"), F.col("high").alias("b"))
+    ).distinct()
+    for end in ("a", "b"):
+        pairs = pairs.join(facts.toDF(end, f"size_{end}", f"bits_{end}"), end)
+    passed = _may_be_similar(percent)("size_a", "bits_a", "size_b", "bits_b")
+    first = cut_lineage(pairs.filter(passed).select("a", "b"))
+    middle = cut_lineage(inside.filter("n > 3 AND low < node AND node < high").select("key", "node"))
+
+    # Sets that a bitmap leaves a partner, and the tiles of these.
+    alone = _cells(middle.withColumn("root", F.col("node")), facts)
     found = alone.mapInArrow(
         _in_cells(lambda sets: [(node,) for node in Cell(sets, percent).live()], ["node"], [pa.int64()]),
         "node bigint",
     )
-    live = cut_lineage(found.distinct())
+    ends_live = first.select(F.explode(F.array("a", "b")).alias("node"))
+    live = cut_lineage(found.unionByName(ends_live).distinct())
     facts = cut_lineage(facts.join(live, "node", "left_semi"))
-    tiles = cut_lineage(tiles.join(live, "node", "left_semi"))
+    middle = cut_lineage(middle.join(live, "node", "left_semi"))
     sets_path = scratch_path(spark, "ngram-sets")
     _listed(documents, hashed, live, words).write.parquet(sets_path)
     sets = spark.read.parquet(sets_path)
@@ -439,16 +479,11 @@ def similar_links(
             pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("hashes").alias(f"hashes_{end}")), end)
         return cut_lineage(pairs.filter(_is_similar(percent)("hashes_a", "hashes_b")).select("a", "b"))
 
-    first = tiles.groupBy("key").agg(F.min("node").alias("a")).join(tiles, "key")
-    pairs = first.filter("a < node").select("a", F.col("node").alias("b")).distinct()
-    for end in ("a", "b"):
-        pairs = pairs.join(facts.toDF(end, f"size_{end}", f"bits_{end}"), end)
-    links = verified(pairs.filter(_may_be_similar(percent)("size_a", "bits_a", "size_b", "bits_b")).select("a", "b"))
-
+    links = verified(first)
     most = FIRST_PAIRS
     while True:
         joined = connected_components(links).withColumnRenamed("root", "known_root")
-        rooted = tiles.join(joined, "node", "left").select(
+        rooted = middle.join(joined, "node", "left").select(
             "key", "node", F.coalesce("known_root", "node").alias("root")
         )
         make = _in_cells(
