@@ -20,7 +20,7 @@ from tripgrain.llm.licenses import scan_licenses
 from tripgrain.llm.ngram_join import jaccard_classes
 from tripgrain.llm.quality import fit_quality, grade_documents
 from tripgrain.llm.simhash import as_hex, near_duplicates
-from tripgrain.llm.suffix_index import remove_repeats
+from tripgrain.llm.suffix_index import readable, remove_repeats
 from tripgrain.llm.token_counts import count_tokens
 from tripgrain.llm.toxicity import fit_toxicity, score_documents
 
@@ -75,6 +75,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests of the contract, and the text left, without characters that were cut in two."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     removed = F.reduce(
         "spans",
@@ -87,6 +88,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        readable(F.col("kept")).alias("text"),
     )
 
 
