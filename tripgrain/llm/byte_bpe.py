@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from tripgrain.llm.columns import bounded_broadcast, whole_text, with_results
 from tripgrain.llm.pretokens import splitter
 
-# What a worker remembers at most; beyond that it starts anew.
+# What a worker remembers at most; beyond that it forgets what it has not met for long.
 MAX_CACHED_PIECES = 200_000
 MAX_CACHED_SEAMS = 200_000
+# Tables of beginnings of so many bytes are kept, so that a piece goes on from a known prefix.
+HEAD_BYTES, MAX_CACHED_HEADS = (6, 3), 30_000
 # Pairs of ids as one number; candidates where no token of three bytes or more ends.
 SEAM_BASE, SHORT = 1 << 32, (2, 1)
 
@@ -65,6 +67,7 @@ class PrefixEncoder:
             ending: (*sorted(found, reverse=True), 2, 1) for ending, found in lengths.items()
         }
         self._seams: dict[int, bool] = {}
+        self._heads: dict[bytes, list[int]] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """The encoding by the plain rule: merge the adjacent pair of lowest rank, repeatedly."""
@@ -170,21 +173,40 @@ class PrefixEncoder:
         return found[::-1]
 
     def encode(self, data: bytes) -> list[int]:
-        return self.tokens(self.extend(data, []))
+        return self.tokens(self.extend(data, self._known_prefix(data, HEAD_BYTES)))
+
+    def _known_prefix(self, data: bytes, lengths: tuple[int, ...]) -> list[int]:
+        """A copy of the table of the longest beginning of `data` that has one of these lengths."""
+        for place, length in enumerate(lengths):
+            if length < len(data):
+                head = data[:length]
+                table = self._heads.get(head)
+                if table is None:
+                    table = self.extend(head, self._known_prefix(head, lengths[place + 1 :]))
+                    if len(self._heads) >= MAX_CACHED_HEADS:
+                        self._heads.clear()
+                    self._heads[head] = table
+                return table.copy()
+        return []
 
 
 class PieceIds(dict):
-    """Ids of the pieces met so far. It starts anew when full, so its memory is bounded."""
+    """Ids of the pieces met lately, in two generations of bounded size.
+
+    A full generation becomes the older one, whose pieces are taken over when they are met again.
+    """
 
     def __init__(self, encoder: PrefixEncoder):
         super().__init__()
         self.encoder = encoder
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode("utf-8", "surrogatepass")
-        encoder = self.encoder
-        ids = tuple(encoder.encode(data))
-        if len(self) >= MAX_CACHED_PIECES:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = tuple(self.encoder.encode(piece.encode("utf-8", "surrogatepass")))
+        if len(self) >= MAX_CACHED_PIECES // 2:
+            self.older = dict(self)
             self.clear()
         if len(piece) <= 64:
             self[piece] = ids
