@@ -426,6 +426,19 @@ def _listed(documents: DataFrame, hashed: DataFrame, live: DataFrame, words: int
     return listed.join(live, "node", "left_semi").dropDuplicates(["node"])
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """`node, known_root`: nodes of the same root are joined by links, those of others may be.
+
+    Two steps to smaller neighbours join most of a group, as its links go to few sets.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
+        "node", F.least("node", "low").alias("step")
+    )
+    further = near.select(F.col("node").alias("step"), F.col("step").alias("known_root"))
+    return near.join(further, "step").select("node", "known_root")
+
+
 def similar_links(
     documents: DataFrame, hashed: DataFrame, tries: list[int], words: int, percent: int
 ) -> DataFrame:
@@ -482,8 +495,7 @@ def similar_links(
     links = verified(first)
     most = FIRST_PAIRS
     while True:
-        joined = connected_components(links).withColumnRenamed("root", "known_root")
-        rooted = middle.join(joined, "node", "left").select(
+        rooted = middle.join(_labels(links), "node", "left").select(
             "key", "node", F.coalesce("known_root", "node").alias("root")
         )
         make = _in_cells(
