@@ -17,10 +17,11 @@ which two bitmaps differ stands for at least one hash that only one set has, so
 bounds the overlap from above. Only pairs that the bound lets pass are intersected, by search in
 the sorted hashes, and hashes are listed only for sets in such a pair.
 
-Only links between components matter. First each tile's sets are compared with its first and its
-last one, which settles tiles of up to three. Then, among the others of tiles that hold several
-components, every set outside the largest is paired with the most promising sets of each other
-component, and with more of them in further rounds, until links are found or no pair is left. Tiles of over `CELL_BYTES` of bitmaps are dealt into pairs of blocks, which
+Only links between components matter. First each tile's sets are compared with its first one, which
+settles tiles of two. Then, among the others of tiles that hold several components, every set
+outside the largest is paired with the few most promising sets of other components. Found links
+join components, and sets that had more candidates get more pairs in further rounds, until no
+candidate is left unchecked. Tiles of over `CELL_BYTES` of bitmaps are dealt into pairs of blocks, which
 are cells of bounded size, so that no tile has to fit a task and no pair is left out.
 
 Defined results: words are maximal runs without ASCII white space, A-Z lowered; fewer words than a
@@ -47,8 +48,8 @@ from tripgrain.llm.components import connected_components
 
 SHINGLE_WORDS, MIN_PERCENT = 5, 80
 LEAST_PARTS, HASHES_A_PART = 64, 3
-# Pairs of a set with each other component in the first round, and times as many in each next one.
-FIRST_PAIRS, MORE_PAIRS = 16, 8
+# Pairs of a set in a cell in the first round, and times as many in each next one.
+FIRST_PAIRS, MORE_PAIRS = 2, 8
 # Cells of more sets are compared as arrays.
 FEW = 24
 # Ids of sets to list are broadcast up to this number, 16 MB, and joined by shuffle beyond.
@@ -343,20 +344,15 @@ class Cell:
         return [node for at, node in enumerate(self.nodes) if self.near(at)]
 
     def pairs(self, most: int) -> list[tuple[int, int, bool]]:
-        """For each set outside the largest component its `most` nearest of each other one.
+        """For each set outside the largest component its `most` nearest of other ones.
 
-        With them stands whether there were more of that component.
+        With them stands whether there were more.
         """
         found, largest = [], self.counts.index(max(self.counts))
         for at, root in enumerate(self.root):
-            if root == largest:
-                continue
-            by_root: dict[int, list[tuple[int, int]]] = {}
-            for other, differing in self.near(at):
-                by_root.setdefault(self.root[other], []).append((differing, self.nodes[other]))
-            for others in by_root.values():
-                more = len(others) > most
-                found += [(self.nodes[at], other, more) for _, other in sorted(others)[:most]]
+            if root != largest:
+                near = sorted((differing, self.nodes[other]) for other, differing in self.near(at))
+                found += [(self.nodes[at], other, len(near) > most) for _, other in near[:most]]
         return found
 
 
@@ -459,19 +455,17 @@ def similar_links(
     tiles = spark.read.parquet(tiles_path)
     facts = hashed.groupBy("node").agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
 
-    # Every tile's first and last set against all of it, and what is between them.
+    # Every tile's first set against all of it, and the others among each other.
     ends = cut_lineage(
-        tiles.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n"))
+        tiles.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n"))
     )
-    inside = tiles.join(ends, "key")
-    pairs = inside.filter("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(
-        inside.filter("low < node AND node < high").select(F.col("node").alias("a"), F.col("high").alias("b"))
-    ).distinct()
+    others = tiles.join(ends, "key").filter("low < node")
+    pairs = others.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
     for end in ("a", "b"):
         pairs = pairs.join(facts.toDF(end, f"size_{end}", f"bits_{end}"), end)
     passed = _may_be_similar(percent)("size_a", "bits_a", "size_b", "bits_b")
     first = cut_lineage(pairs.filter(passed).select("a", "b"))
-    middle = cut_lineage(inside.filter("n > 3 AND low < node AND node < high").select("key", "node"))
+    middle = cut_lineage(others.filter("n > 2").select("key", "node"))
 
     # Sets that a bitmap leaves a partner, and the tiles of these.
     alone = _cells(middle.withColumn("root", F.col("node")), facts)
