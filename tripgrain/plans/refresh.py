@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tripgrain.durable import cut_lineage
-from tripgrain.functions.timestamps import with_bucket
 from tripgrain.operators.trips import Motion
+from tripgrain.plans.provenance import (
+    by_gold_partition,
+    gold_names,
+    has_provenance,
+    note_provenance,
+    partition_pairs,
+    same_partition,
+    source_partitions,
+    sources_of,
+)
 from tripgrain.plans.statistics import driving_stat
 from tripgrain.schema import Grain
 from tripgrain.sinks.gold import (
@@ -43,45 +49,33 @@ def resolve_load_type(spark: SparkSession, load_type: str, table: str, path: str
     return load_type
 
 
-def _by_gold_partition(positions: DataFrame, grain: Grain) -> DataFrame:
-    """Samples with the gold partition they belong to as `gold_year`, …"""
-    dated = with_bucket(positions, grain)
-    parts = {
-        "year": F.year("date"),
-        "month": F.month("date"),
-        "day": F.dayofmonth("date"),
-        "hour": F.hour("ts"),
-    }
-    return dated.withColumns({f"gold_{name}": parts[name] for name in grain.partitions})
-
-
-def _samples_to_compute(
-    batch: DataFrame, positions: DataFrame, grain: Grain, target_path: str
+def samples_to_compute(
+    batch: DataFrame, positions: DataFrame, pairs: DataFrame, grain: Grain, target_path: str
 ) -> DataFrame:
     """The batch, with all earlier samples of the buckets that are written already.
 
     Source and event time may differ, so a batch can reach into buckets that earlier batches
-    filled. Those are computed again from everything known of them, never from the batch alone.
-    Where there are none, nothing but the batch is read.
+    filled. Those are computed again from everything known of them, never from the batch alone:
+    from the source partitions that are noted to have fed them, or where that was never noted,
+    from the whole source. Where there are none, nothing but the batch is read. `pairs` are the
+    source and gold partitions of the batch.
     """
-    spark, names = batch.sparkSession, [f"gold_{name}" for name in grain.partitions]
+    spark, names = batch.sparkSession, gold_names(grain)
     kinds = ", ".join(f"{name} int" for name in grain.partitions)
     written = spark.read.schema(kinds).parquet(target_path).toDF(*names).distinct()
     # Both sides have one row per gold partition.
-    touched = _by_gold_partition(batch, grain).select(*names).distinct()
-    again = cut_lineage(touched.join(written, _same(touched, written, names), "left_semi"))
+    touched = pairs.select(*names).distinct()
+    again = cut_lineage(touched.join(written, same_partition(touched, written, names), "left_semi"))
     if again.isEmpty():
         return batch
-    everything, new = _by_gold_partition(positions, grain), _by_gold_partition(batch, grain)
-    whole = everything.join(again, _same(everything, again, names), "left_semi")
-    rest = new.join(again, _same(new, again, names), "left_anti")
+    sources = sources_of(again, pairs, target_path, grain)
+    known = positions if sources is None else positions.filter(sources)
+    everything, new = by_gold_partition(known, grain), by_gold_partition(batch, grain)
+    whole = everything.join(again, same_partition(everything, again, names), "left_semi")
+    rest = new.join(again, same_partition(new, again, names), "left_anti")
     return whole.unionByName(rest).select(*positions.columns)
 
 
-def _same(one: DataFrame, other: DataFrame, names: list[str]) -> Column:
-    return reduce(and_, [one[name].eqNullSafe(other[name]) for name in names])
-
-
 def refresh(
     positions: DataFrame,
     grain: Grain,
@@ -118,12 +112,14 @@ def refresh(
             batch = incremental(positions, grain, watermark)
             if repair_from is not None:
                 batch = positions.filter(partitions_from(grain, min(repair_from, watermark)))
-    if batch.isEmpty():
+    # One pass over the partition columns and times tells all that is asked of the batch.
+    pairs = cut_lineage(partition_pairs(batch, grain))
+    if pairs.isEmpty():
         return None
-    latest = latest_partition(batch, grain).first()["latest_ts"]
+    latest = latest_partition(source_partitions(pairs, grain), grain).first()["latest_ts"]
     samples = batch
     if load_type == INCREMENTAL:
-        samples = _samples_to_compute(batch, positions, grain, target_path)
+        samples = samples_to_compute(batch, positions, pairs, grain, target_path)
     # One row per bucket: computed once, then written and listed from storage.
     gold = cut_lineage(driving_stat(samples, grain, max_group_rows, formulas))
     if load_type == FULL_LOAD:
@@ -131,5 +127,8 @@ def refresh(
     else:
         replace_partitions(gold, grain, target_path)
     register_partitions(spark, table, target_path, grain, gold, load_type)
+    # A map that lacks an earlier batch would lose samples, so only a full load begins one.
+    if load_type == FULL_LOAD or has_provenance(spark, target_path):
+        note_provenance(pairs, target_path)
     note_consumed(spark, target_path, grain, latest)
     return load_type
