@@ -12,7 +12,7 @@ that have such a token in common. A set is in the tiles of its own band, and in
 if larger partners may be there. The few sets that have too few tokens for that argument are dealt
 out again by another hash.
 
-*Bitmaps.* Each set has a bitmap of one to two bits a hash, in which every hash flips its bit. A bit in
+*Bitmaps.* Each set has a bitmap of four to eight bits a hash, in which every hash flips its bit. A bit in
 which two bitmaps differ stands for at least one hash that only one set has, so counting such bits
 bounds the overlap from above. Only pairs that the bound lets pass are intersected, by search in
 the sorted hashes, and hashes are listed only for sets in such a pair.
@@ -131,7 +131,7 @@ def tile_keys(hashes: np.ndarray, percent: int, tries: int) -> np.ndarray:
 
 def bitmap(hashes: np.ndarray) -> bytes:
     """The signature, in which every hash flips the bit of its low bits."""
-    width = max(64, 1 << band_of(len(hashes)))
+    width = max(64, 4 << band_of(len(hashes)))
     flips = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width)
     return np.packbits((flips & 1).astype(bool), bitorder="little").tobytes()
 
