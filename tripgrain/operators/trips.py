@@ -108,14 +108,24 @@ def with_steps(samples: DataFrame, group: list[str], motion: Motion) -> DataFram
     return motion.measure(samples.withColumns(ends))
 
 
-def _sums(measures: list[str]) -> list[Column]:
+def sums(measures: list[str]) -> list[Column]:
     return [F.sum(measure).alias(measure) for measure in measures]
 
 
-def _tiled_motion(
-    samples: DataFrame, keys: list[str], motion: Motion, tiles: int
-) -> DataFrame:
-    """Motion of hot trips: steps within tiles, plus the seams between one tile and the next.
+def seen_ends(motion: Motion) -> list[Column]:
+    """First and last sample of a stretch, of all samples and of those with a position."""
+    sample = F.struct(*motion.order)
+    located = F.when(F.col("latitude").isNotNull(), sample)
+    return [
+        F.min(sample).alias("first"),
+        F.max(sample).alias("last"),
+        F.min(located).alias("first_located"),
+        F.max(located).alias("last_located"),
+    ]
+
+
+def tile_pieces(samples: DataFrame, keys: list[str], motion: Motion, tiles: int) -> DataFrame:
+    """Hot trips in pieces that follow each other: sums within a `tile`, and its ends.
 
     Copies of a sample are dropped first: there is no distance and no `ct` progress between them.
     """
@@ -123,18 +133,18 @@ def _tiled_motion(
     stepped = with_steps(
         with_tiles(distinct, keys, tiles, motion.order), [*keys, "tile"], motion
     )
-    sample = F.struct(*motion.order)
-    located = F.when(F.col("latitude").isNotNull(), sample)
     # Grouped in the key order of the window, whose sort then serves this aggregation as well.
-    pieces = stepped.groupBy("tile", *reversed(keys)).agg(
-        *_sums(motion.measures),
-        F.min(sample).alias("first"),
-        F.max(sample).alias("last"),
-        F.min(located).alias("first_located"),
-        F.max(located).alias("last_located"),
+    return stepped.groupBy("tile", *reversed(keys)).agg(
+        *sums(motion.measures), *seen_ends(motion)
     )
+
+
+def with_seams(
+    pieces: DataFrame, keys: list[str], motion: Motion, order: list[str]
+) -> DataFrame:
+    """Add as `seam_…` the measures of the step to each piece from the one before it."""
     earlier = (
-        Window.partitionBy(*keys).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     neighbours = pieces.withColumns(
         {
@@ -157,17 +167,28 @@ def _tiled_motion(
             "ct2": F.col("first.ct"),
             "sp2": F.col("first.sp"),
         }
-    measured = motion.measure(neighbours.withColumns(ends), prefix="seam_")
-    return measured.groupBy(*keys).agg(
-        *[F.sum(F.col(name) + F.col(f"seam_{name}")).alias(name) for name in motion.measures]
-    )
+    return motion.measure(neighbours.withColumns(ends), prefix="seam_")
+
+
+def joined_sums(measures: list[str]) -> list[Column]:
+    """Sums over pieces and over the seams before them."""
+    return [F.sum(F.col(name) + F.col(f"seam_{name}")).alias(name) for name in measures]
+
+
+def _tiled_motion(
+    samples: DataFrame, keys: list[str], motion: Motion, tiles: int
+) -> DataFrame:
+    """Motion of hot trips: steps within tiles, plus the seams between one tile and the next."""
+    pieces = tile_pieces(samples, keys, motion, tiles)
+    measured = with_seams(pieces, keys, motion, ["tile"])
+    return measured.groupBy(*keys).agg(*joined_sums(motion.measures))
 
 
 def _trip_motion(
     samples: DataFrame, keys: list[str], motion: Motion, max_group_rows: int | None
 ) -> DataFrame:
     def small(rows: DataFrame) -> DataFrame:
-        return with_steps(rows, keys, motion).groupBy(*keys).agg(*_sums(motion.measures))
+        return with_steps(rows, keys, motion).groupBy(*keys).agg(*sums(motion.measures))
 
     def large(rows: DataFrame, hot: HotGroups) -> DataFrame:
         return _tiled_motion(rows, keys, motion, hot.tiles)
@@ -203,6 +224,11 @@ def attach_events(trips: DataFrame, events: DataFrame, keys: list[str]) -> DataF
     return trips.join(events, on=keys, how="inner")
 
 
+def motion_of(grain: Grain, formulas: Motion | None) -> Motion:
+    """What the statistic of a grain measures, by our formulas or by given ones."""
+    return replace(formulas or Motion(), distance=True, events=grain.has_events)
+
+
 def trip_rows(
     samples: DataFrame,
     grain: Grain,
@@ -214,8 +240,7 @@ def trip_rows(
     At the grains with events, trips with a NULL key are left out, as the join on the keys in
     `attach_events` would.
     """
-    keys = grain.trip_keys
-    motion = replace(formulas or Motion(), distance=True, events=grain.has_events)
+    keys, motion = grain.trip_keys, motion_of(grain, formulas)
 
     def small(rows: DataFrame) -> DataFrame:
         # One row per trip, user and vehicle, then one per trip: both reuse the partitioning of
@@ -225,14 +250,14 @@ def trip_rows(
             .groupBy(*keys, "user_id", "vehicle_id")
             .agg(
                 F.count("ct").alias("total_driving_time"),
-                *_sums(motion.measures),
+                *sums(motion.measures),
             )
         )
         return pairs.groupBy(*keys).agg(
             F.size(F.collect_set("user_id")).cast("long").alias("user_count"),
             F.size(F.collect_set("vehicle_id")).cast("long").alias("vehicle_count"),
             F.sum("total_driving_time").alias("total_driving_time"),
-            *_sums(motion.measures),
+            *sums(motion.measures),
         )
 
     def large(rows: DataFrame, hot: HotGroups) -> DataFrame:
