@@ -32,6 +32,7 @@ from tripgrain.operators.trips import (  # noqa: E402
     trip_rows,
 )
 from tripgrain.plans.refresh import refresh  # noqa: E402
+from tripgrain.plans.states import add_batch, compact_states, stat_from_states  # noqa: E402
 from tripgrain.plans.statistics import driving_stat, monthly_stat, position_samples  # noqa: E402
 from tripgrain.schema import (  # noqa: E402
     DAY,
@@ -335,21 +336,22 @@ def refresh_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def from_states(grain: Grain) -> Query:
-    """The statistic merged from four batches, compacted after the first two.
+    """The statistic merged from four batches, two of them compacted before the others come.
 
-    Most trips come in stretches of time, the latest first, so that batches lie behind what is stored;
-    one trip in eight is dealt out sample by sample.
+    Trips arrive in stretches of their order, the last one first, so that batches lie behind what is
+    stored; the samples of one trip in four are dealt out at random, which interleaves it.
     """
 
     def query(spark, sf_dir):
         positions = _positions(spark, sf_dir, grain)
-        dealt = F.pmod(F.xxhash64("trip_id", "ts", "ct"), F.lit(4))
-        in_time = F.lit(3) - F.floor(F.pmod(F.col("ct"), F.lit(3600)) / 900)
-        mixed = F.pmod(F.xxhash64("trip_id"), F.lit(8)) == 0
-        number = F.coalesce(F.when(mixed, dealt).otherwise(in_time), dealt)
+        last = positions.agg(F.max("ct")).first()[0] or 0
+        stretch = F.lit(3) - F.floor(F.col("ct") * 4 / (last + 1))
+        dealt = F.pmod(F.xxhash64("ts", "ct"), F.lit(4))
+        number = F.when(F.col("trip_id") == 1, dealt).otherwise(F.coalesce(stretch, dealt))
         states, compacted = (scratch_path(spark, "states") for _ in range(2))
         for at in range(4):
-            add_batch(positions.filter(number == at), grain, states if at < 2 else compacted, f"b{at}")
+            target = states if at < 2 else compacted
+            add_batch(positions.filter(number == at), grain, target, f"b{at}")
         compact_states(spark, states, compacted, grain)
         return stat_from_states(positions, grain, compacted)
 
@@ -655,6 +657,7 @@ def oracle_sql() -> dict[str, str]:
             f"partition_paths_{name}": f"""{ctes}
                 select distinct {path} as partition_path from positions""",
             f"refresh_incremental_{name}": _stat_sql(grain),
+            f"stat_from_states_{name}": _stat_sql(grain),
         }
         if grain.has_events:
             named |= {
