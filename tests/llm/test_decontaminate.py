@@ -3,7 +3,7 @@ import random
 import re
 
 from tripgrain.llm import decontaminate
-from tripgrain.llm.decontaminate import find_contamination, is_contaminated
+from tripgrain.llm.decontaminate import find_contamination, is_contaminated, remove_contamination
 from tripgrain.llm.queries import op5_decontamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -98,3 +98,57 @@ def test_query_against_brute_force(spark, sf_dir):
         assert (row["n_words"], row["n_hit"], row["n_items"]) == (n_words, n_hit, len(ids))
         assert row["items_sha256"] == hashlib.sha256(",".join(ids).encode()).hexdigest()
         assert row["contaminated"] == (n_hit > 0 and 20 * n_hit >= n_words)
+
+
+def brute_kept(text, items, max_span, max_share, window=13):
+    """Words that stay, and how many go."""
+    doc, hit = words(text), set()
+    for _, content in items:
+        seq = words(content)
+        size = min(window, len(seq))
+        grams = {tuple(seq[i : i + size]) for i in range(len(seq) - size + 1)} if seq else set()
+        for i in range(len(doc) - size + 1) if seq else ():
+            if tuple(doc[i : i + size]) in grams:
+                # Passages that touch are one: mark what joins the words as well.
+                hit.update(range(2 * i, 2 * (i + size) + 1))
+    runs, run = [], []
+    for at in range(2 * len(doc) + 2):
+        if at in hit:
+            run.append(at)
+        elif run:
+            runs.append({n // 2 for n in run[:-1]})
+            run = []
+    if sum(map(len, runs)) <= max_share * len(doc):
+        runs = [found for found in runs if len(found) > max_span]
+    gone = set().union(*runs)
+    return [word for at, word in enumerate(doc) if at not in gone], len(gone)
+
+
+def test_removal_against_brute_force(spark):
+    for seed, max_span, max_share in ((0, 0, 0.0), (1, 14, 1.0), (2, 14, 0.5), (3, 1000, 0.3)):
+        docs, items = corpus(seed)
+        docs += ["", "...", " ".join(["x"] * 50_000) + " " + items[0][1]]
+        df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+        df = df.selectExpr("doc_id", "text", "doc_id as HITS", "doc_id as row", "doc_id as found")
+        bench = spark.createDataFrame(items, "item_id string, text string")
+        left = remove_contamination(df, bench, max_span=max_span, max_share=max_share)
+        rows = left.collect()
+        assert sorted(row["doc_id"] for row in rows) == list(range(len(docs)))
+        for row in rows:
+            kept, gone = brute_kept(docs[row["doc_id"]], items, max_span, max_share)
+            assert (words(row["text"]), row["n_removed"]) == (kept, gone)
+            assert row["HITS"] == row["row"] == row["found"] == row["doc_id"]
+            if not gone:
+                assert row["text"] == docs[row["doc_id"]]
+
+
+def test_removal_keeps_signs_nulls_and_empty_tables(spark):
+    passage = " ".join(f"w{i}" for i in range(13))
+    bench = spark.createDataFrame([("a", passage)], "item_id string, text string")
+    docs = [f"Été, before: {passage.upper()} -- after.", None, passage, f"one\n{passage}\ntwo"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    left = {row["doc_id"]: row["text"] for row in remove_contamination(df, bench).collect()}
+    assert left == {0: "Été, before: -- after.", 1: None, 2: "", 3: "one\n\ntwo"}
+    assert remove_contamination(df.limit(0), bench).collect() == []
+    whole = remove_contamination(df, bench.limit(0)).collect()
+    assert {row["doc_id"]: row["text"] for row in whole} == dict(enumerate(docs))

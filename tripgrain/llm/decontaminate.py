@@ -7,7 +7,10 @@ shorter than that, but not empty, has to occur whole.
 
 Words are runs of digits, letters a-z and characters beyond ASCII, after A-Z became lower case.
 
+`remove_contamination` cuts hit passages out of the texts where they exceed a length or a coverage.
+
 Defined results: NULL and empty texts have no words and no hits; an empty benchmark hits nothing;
+a NULL text stays NULL when spans are removed; an empty table gives an empty result;
 items without words match nothing; an item without an id hits words but is not listed; rows with
 equal ids are separate documents, and items with equal ids are listed once; result columns replace
 input columns of the same name. Texts are read whole.
@@ -291,6 +294,86 @@ def find_contamination(
     return with_results(scanned, results).drop(*parts)
 
 
+def _places_of(text: str) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """First byte of each word, the byte after it, and the text's bytes."""
+    content = text.encode("utf-8", "surrogatepass")
+    blank = np.frombuffer(content.translate(_WORD_BYTES), np.uint8) == 0x20
+    edges = np.diff(np.concatenate(([True], blank, [True])).astype(np.int8))
+    return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1), content
+
+
+def spans_to_remove(
+    hits: list[tuple[int, int]], n_words: int, max_span: int, max_share: float
+) -> list[tuple[int, int]]:
+    """Hit ranges longer than `max_span` words; all of them if together they exceed `max_share`."""
+    covered = sum(end - start for start, end in hits)
+    if covered > max_share * n_words:
+        return list(hits)
+    return [(start, end) for start, end in hits if end - start > max_span]
+
+
+def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words of the ranges and what stands between the words of one range.
+
+    What separates a range from the words around it stays, once: signs and blanks before it, or
+    after it at the beginning of the text.
+    """
+    if not spans:
+        return text
+    starts, ends, content = _places_of(text)
+    kept, at = [], 0
+    for start, end in spans:
+        kept.append(content[at : starts[start]])
+        at = ends[end - 1]
+        if end < len(starts) and start > 0:
+            # Blanks before the range separate its neighbours already.
+            while at < starts[end] and content[at] in b" \t" and kept[-1][-1:] in (b" ", b"\t", b"\n"):
+                at += 1
+    kept.append(content[at:])
+    return b"".join(kept).decode("utf-8", "surrogatepass")
+
+
+def remove_contamination(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    max_span: int = 0,
+    max_share: float = 0.0,
+) -> DataFrame:
+    """Documents whose `text` lacks the hit passages that exceed the limits, and `n_removed` words.
+
+    A passage goes if it is longer than `max_span` words, or if hit words are more than `max_share`
+    of the document's words; by default every hit passage goes. Rows and other columns stay. What is
+    hit is judged on the text as given, not on what is left.
+    """
+    # Packed, so that no column gives way to those of the search.
+    packed = documents.select(
+        F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row"),
+        F.col(f"`{text}`").cast("string").alias("text"),
+    )
+    searched = find_contamination(packed, benchmark, "text", item, item_text, window)
+
+    def cut(texts: pa.Array, hit: pa.Array) -> pa.Array:
+        rows = []
+        for content, row in zip(texts.to_pylist(), hit.to_pylist()):
+            ranges = [(span["start"], span["end"]) for span in row["hits"]]
+            spans = spans_to_remove(ranges, row["n_words"], max_span, max_share)
+            left = None if content is None else without_spans(content, spans)
+            rows.append({"text": left, "n_removed": sum(end - start for start, end in spans)})
+        return pa.array(rows, pa.struct([("text", pa.string()), ("n_removed", pa.int64())]))
+
+    found = fresh_name(documents, "found")
+    left = F.arrow_udf(cut, "struct<text:string,n_removed:bigint>")(
+        F.col("text"), F.struct("n_words", "hits")
+    )
+    cleaned = searched.select("row.*", left.alias(found))
+    values = {text: F.col(f"{found}.text"), "n_removed": F.col(f"{found}.n_removed")}
+    return with_results(cleaned, values).drop(found)
+
+
 def is_contaminated(min_share: int = 20) -> Column:
     """True where hit words are at least one in `min_share` of all words."""
     return (F.col("n_hit") > 0) & (F.lit(min_share) * F.col("n_hit") >= F.col("n_words"))
