@@ -98,3 +98,26 @@ def test_query_on_held_out_documents(spark):
     right = [
         row["predicted"] == toxic for row, toxic in held]
     assert sum(right) / len(right) > 0.95
+
+
+def test_short_insults_and_more_than_48_are_found():
+    chance = random.Random(4)
+    plain = [text for _, text, toxic in sentences(2500, 3) if not toxic]
+    letters = "bcdfghjkmpqvwxz"
+    insults = list({"".join(chance.choice(letters) for _ in range(7)) for _ in range(60)})
+    short = ["zug", "qip"]
+    rows = [(text, 0) for text in plain]
+    for insult in [*insults, *short]:
+        rows += [(f"{chance.choice(plain)} {insult}", 1) for _ in range(6)]
+    model = fit_machine([sorted(units(text)) for text, _ in rows], [toxic for _, toxic in rows])
+    plain_scores = [score(model, text) for text, toxic in rows if not toxic]
+    assert sum(value >= 0.5 for value in plain_scores) <= 0.02 * len(plain_scores)
+    for insult in [*insults, *short, "z u g", "q.i.p"]:
+        assert score(model, f"tari elno {insult} su") >= 0.5, insult
+
+
+def test_words_of_toxic_documents_stand_in_for_missing_landmarks():
+    model = fit_machine([["\x02zug\x02"], ["tari"], ["elno"]], [1, 0, 0])
+    assert score(model, "zug") > score(model, "tari")
+    none = fit_machine([[], ["tari"], ["elno"], ["suri"]], [1, 0, 0, 0])
+    assert abs(score(none, "anything") - 0.25) < 1e-9 and abs(score(none, "") - 0.25) < 1e-9

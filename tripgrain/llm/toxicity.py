@@ -3,8 +3,10 @@
 The kernel of two strings counts their common subsequences of four letters, with up to two foreign
 letters between, each occurrence weighted by `DECAY` to the power of their number. A word of letters put
 apart by signs or blanks is read as one word; letters inserted into a word are the kernel's gaps.
+A word of two or three letters, or three letters put apart, is read with a mark at either end, so that
+it has subsequences as well; a single letter, or two put apart, is no word.
 
-Landmark strings taken from the training words span the kernel's space (Nyström): a word is the
+Landmark strings taken from the training words, as many as single out toxic documents, span the kernel's space (Nyström): a word is the
 vector of its kernels with the landmarks, whitened by the landmarks' own kernel matrix. A document
 is as toxic as its worst word, so training alternates between choosing each document's worst word
 and fitting a linear machine with hinge loss on the chosen words. A logistic curve turns margins into
@@ -16,7 +18,8 @@ id; scores cover every row.
 
 Defined results: NULL and empty texts have no words and get the probability of a document without
 any toxic word; labels that are NULL are left out, contradicting ones all count; without both
-classes every score is the share of toxic labels (0 without labels); rows with equal ids are scored
+classes every score is the share of toxic labels (0 without labels), likewise if no toxic document has
+words; an empty table gives an empty result; rows with equal ids are scored
 one by one; result columns replace input columns of the same name. Texts are read whole.
 """
 
@@ -39,7 +42,7 @@ from tripgrain.llm.columns import bounded_broadcast, prepare_workers, whole_text
 MAX_LABELLED = 4000
 LETTERS, GAPS, DECAY = 4, 2, 0.6
 FRAGMENT_LENGTHS = (4, 5, 6, 7)
-MAX_LANDMARKS, NEAR_MISSES = 48, 3
+NEAR_MISSES = 3
 SHRINK, ROUNDS, CLOSE = 1e-4, 25, 0.02
 MAX_CACHED_WORDS = 200_000
 LONGEST_WORD = 64
@@ -48,10 +51,16 @@ _SIGNS = re.compile(r"[\W_]+")
 _REST = list(combinations(range(1, LETTERS + GAPS), LETTERS - 1))
 _WEIGHTS = [DECAY ** (places[-1] + 1 - LETTERS) for places in _REST]
 _PADDING = "\0" * (LETTERS + GAPS)
+# Signs are taken out of words, so this stands in none.
+_EDGE = "\x02"
+
+
+def _with_edges(word: str) -> str:
+    return word if len(word) >= LETTERS else f"{_EDGE}{word}{_EDGE}"
 
 
 def units(text: str) -> set[str]:
-    """The distinct words of a text, in lower case and without signs.
+    """The distinct words of a text, in lower case and without signs; short ones between marks.
 
     Runs of single letters also are read as one word, and very long words in overlapping parts.
     """
@@ -59,16 +68,16 @@ def units(text: str) -> set[str]:
     words = text.lower().split()
     for token in dict.fromkeys(words):
         word = token if token.isalnum() else _SIGNS.sub("", token)
-        if len(word) >= LETTERS:
-            found.add(word)
+        if len(word) > 1:
+            found.add(_with_edges(word))
     if any(len(token) <= 3 for token in words):
         for token in [*words, _PADDING]:
             word = token if token.isalnum() else _SIGNS.sub("", token)
             if len(word) == 1:
                 letters.append(word)
             elif word or token is _PADDING:
-                if len(letters) >= LETTERS:
-                    found.add("".join(letters))
+                if len(letters) >= 3:
+                    found.add(_with_edges("".join(letters)))
                 letters = []
     long = [word for word in found if len(word) > LONGEST_WORD]
     for word in long:
@@ -122,7 +131,8 @@ def choose_landmarks(documents: list[list[str]], toxic: np.ndarray) -> list[str]
 
     A piece is wanted if it is in so many toxic documents, after taking off those of other
     documents, that chance would not give one such piece among all. Of pieces that contain each
-    other the one in the most documents is taken, the longest among equals.
+    other the one in the most documents is taken, the longest among equals. If none is wanted, the
+    best piece of all is; there is none if toxic documents have no words.
     """
     pieces_of: dict[str, set[str]] = {}
     holders: Counter = Counter()
@@ -139,11 +149,11 @@ def choose_landmarks(documents: list[list[str]], toxic: np.ndarray) -> list[str]
         found.update(seen)
     least = max(2.0, np.log(max(2, len(holders))) / -np.log(min(0.5, toxic.mean())))
     gains = {piece: times - 3 * plain[piece] for piece, times in holders.items()}
-    wanted = [piece for piece, gain in gains.items() if gain >= least]
-    wanted.sort(key=lambda piece: (-gains[piece], -len(piece), piece))
+    by_gain = sorted(gains, key=lambda piece: (-gains[piece], -len(piece), piece))
+    wanted = [piece for piece in by_gain if gains[piece] >= least] or by_gain[:1]
     chosen: list[str] = []
     for piece in wanted:
-        if len(chosen) < MAX_LANDMARKS and not _alike(piece, chosen):
+        if not _alike(piece, chosen):
             chosen.append(piece)
     return chosen
 
@@ -269,7 +279,9 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
     if toxic.all() or not toxic.any():
         share = float(toxic.mean()) if len(toxic) else 0.0
         return ToxicityModel({}, 0.0, 0.0, 40.0 if share == 1 else -40.0)
-    marked = choose_landmarks(documents, toxic) or ["toxic"]
+    marked = choose_landmarks(documents, toxic)
+    if not marked:
+        return ToxicityModel({}, 0.0, 0.0, float(np.log(toxic.mean() / (1 - toxic.mean()))))
     landmarks = Landmarks([*marked, *near_misses(documents, toxic, marked)])
     own = np.array([landmarks.kernels(piece)[at] for at, piece in enumerate(marked)])
     # Words that have next to nothing in common with a toxic landmark cannot be a document's worst.
