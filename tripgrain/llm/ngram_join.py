@@ -50,6 +50,8 @@ SHINGLE_WORDS, MIN_PERCENT = 5, 80
 LEAST_PARTS, HASHES_A_PART = 64, 3
 # Pairs of a set in a cell in the first round, and times as many in each next one.
 FIRST_PAIRS, MORE_PAIRS = 2, 8
+# Times that groups are joined over their links before the next round's pairs.
+LABEL_STEPS = 3
 # Cells of more sets are compared as arrays.
 FEW = 24
 # Ids of sets to list are broadcast up to this number, 16 MB, and joined by shuffle beyond.
@@ -422,17 +424,34 @@ def _listed(documents: DataFrame, hashed: DataFrame, live: DataFrame, words: int
     return listed.join(live, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    """`node, known_root`: nodes of the same root are joined by links, those of others may be.
-
-    Two steps to smaller neighbours join most of a group, as its links go to few sets.
-    """
+def _hooked(links: DataFrame) -> DataFrame:
+    """`node, root` of all linked nodes: two steps to the smallest neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
         "node", F.least("node", "low").alias("step")
     )
-    further = near.select(F.col("node").alias("step"), F.col("step").alias("known_root"))
-    return near.join(further, "step").select("node", "known_root")
+    further = near.select(F.col("node").alias("step"), F.col("step").alias("root"))
+    return near.join(further, "step").select("node", "root")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """`node, known_root`: nodes of the same root are joined by links, those of others may be.
+
+    After each step links are drawn between the roots instead. A few steps join most groups whole;
+    what they leave apart costs pairs in the next round, but no link.
+    """
+    labels = cut_lineage(_hooked(links))
+    for _ in range(LABEL_STEPS - 1):
+        rest = links
+        for end in ("a", "b"):
+            rest = rest.join(labels.toDF(end, f"root_{end}"), end)
+        rest = rest.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        rest = rest.filter("a <> b").distinct()
+        higher = _hooked(rest).toDF("root", "higher")
+        labels = cut_lineage(
+            labels.join(higher, "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
+        )
+    return labels.withColumnRenamed("root", "known_root")
 
 
 def similar_links(
