@@ -51,6 +51,8 @@ from tripgrain.sinks.gold import (  # noqa: E402
     write_gold,
     write_partitioned,
 )
+from tripgrain.sinks.versions import APPEND, OVERWRITE, REPLACE, publish, read_published, stage  # noqa: E402
+from tripgrain.sources.listing import latest_partition_listed  # noqa: E402
 from tripgrain.sources.positions import (  # noqa: E402
     incremental,
     latest_partition,
@@ -133,6 +135,17 @@ def latest_by_sql(grain: Grain) -> Query:
     return lambda spark, sf_dir: latest_partition_sql(_positions(spark, sf_dir, grain), grain)
 
 
+def latest_by_listing(grain: Grain) -> Query:
+    """The latest partition of a table on disk, told from its directories."""
+
+    def query(spark, sf_dir):
+        path = scratch_path(spark, f"silver-{grain.name}")
+        write_partitioned(_positions(spark, sf_dir, grain), grain.partitions, path, "overwrite")
+        return latest_partition_listed(spark, path, grain)
+
+    return query
+
+
 def trips(grain: Grain) -> Query:
     return lambda spark, sf_dir: trip_agg(_samples(spark, sf_dir, grain), grain.trip_keys)
 
@@ -264,6 +277,19 @@ def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written(spark, path, DAY)
 
 
+def write_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three published versions of a table, and one writer that never came to publish."""
+    path = scratch_path(spark, "published-day")
+    positions = event_positions(spark, sf_dir)
+    early = driving_stat(_until(positions, DAY), DAY)
+    later = driving_stat(incremental(positions, DAY, WATERMARKS["day"]), DAY)
+    publish(early, DAY.partitions, path, OVERWRITE)
+    stage(later, DAY.partitions, path)
+    publish(later, DAY.partitions, path, APPEND)
+    publish(driving_stat(positions, DAY).filter("day > 10"), DAY.partitions, path, REPLACE)
+    return read_published(spark, path, DAY.partitions).select(*DAY.gold_columns)
+
+
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "gold_day")
     table = path.rsplit("/", 1)[1].replace("-", "_")
@@ -428,6 +454,7 @@ def queries() -> dict[str, Query]:
         "monthly_stat_collapsed": monthly_stat_collapsed,
         "write_overwrite": write_overwrite,
         "write_append": write_append,
+        "write_published": write_published,
         "catalog_partitions": catalog_partitions,
     }
     per_grain = {
@@ -435,6 +462,7 @@ def queries() -> dict[str, Query]:
         "scan_incremental": scan_incremental,
         "latest_partition": latest,
         "latest_partition_sql": latest_by_sql,
+        "latest_partition_listed": latest_by_listing,
         "trip_agg": trips,
         "ordered_trace": traces,
         "trip_distance": distances,
@@ -619,6 +647,7 @@ def oracle_sql() -> dict[str, str]:
             from months""",
         "write_overwrite": whole_day,
         "write_append": whole_day,
+        "write_published": whole_day,
         "catalog_partitions": f"""select distinct
             'year=' || year || '/month=' || month || '/day=' || day as partition
             from ({EVENT_POSITIONS_SQL})""",
@@ -646,6 +675,7 @@ def oracle_sql() -> dict[str, str]:
             f"scan_incremental_{name}": f"{ctes} select * from positions where {later[name]}",
             f"latest_partition_{name}": latest_sql,
             f"latest_partition_sql_{name}": latest_sql,
+            f"latest_partition_listed_{name}": latest_sql,
             f"trip_agg_{name}": f"{ctes} select {keys}, {trip_columns} from trips",
             f"ordered_trace_{name}": _trace_sql(grain, 10_000),
             f"trip_distance_{name}": f"{ctes} select {keys}, total_distance from trips",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripgrain.functions.timestamps import partition_timestamp
 from tripgrain.schema import Grain
+from tripgrain.sources.listing import latest_listed
 
 
 def partitions_after(grain: Grain, watermark: datetime) -> Column:
@@ -82,12 +83,10 @@ def latest_partition_sql(table: DataFrame, grain: Grain) -> DataFrame:
 def watermark_of(spark: SparkSession, path: str, grain: Grain) -> datetime | None:
     """Start time of the latest partition in a gold table; None if it has no dated row.
 
-    Only partition columns are asked for, so no data column is read, and a directory left empty
-    by a lost full load is an empty table.
+    Told from directory names, so no job runs and no file is opened. A directory left empty by a
+    lost full load is an empty table.
     """
-    partitions = ", ".join(f"{part} int" for part in grain.partitions)
-    gold = spark.read.schema(partitions).parquet(path)
-    return latest_partition(gold, grain).first()["latest_ts"]
+    return latest_listed(spark, path, grain)
 
 
 CONSUMED = "_consumed"
