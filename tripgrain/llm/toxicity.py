@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from array import array
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
@@ -45,6 +46,8 @@ FRAGMENT_LENGTHS = (4, 5, 6, 7)
 NEAR_MISSES = 3
 SHRINK, ROUNDS, CLOSE = 1e-4, 25, 0.02
 MAX_CACHED_WORDS = 200_000
+# Rows that are raised to double precision at a time.
+BLOCK_ROWS = 16_384
 LONGEST_WORD = 64
 
 _SIGNS = re.compile(r"[\W_]+")
@@ -126,35 +129,46 @@ def _fragments(word: str) -> set[str]:
     return {word, *(end for end in ends if len(end) >= LETTERS)}
 
 
+_NONE: frozenset[str] = frozenset()
+
+
 def choose_landmarks(documents: list[list[str]], toxic: np.ndarray) -> list[str]:
     """Words, word starts and word ends that single out toxic documents.
 
     A piece is wanted if it is in so many toxic documents, after taking off those of other
     documents, that chance would not give one such piece among all. Of pieces that contain each
-    other the one in the most documents is taken, the longest among equals. If none is wanted, the
+    other the one in the most documents is taken, the longest among equals. One with less than twice
+    the documents that are needed is taken only if one of them has no piece taken before. If none is wanted, the
     best piece of all is; there is none if toxic documents have no words.
     """
-    pieces_of: dict[str, set[str]] = {}
     holders: Counter = Counter()
     plain: Counter = Counter()
-    for words, found in zip(documents, (holders if mark else plain for mark in toxic)):
+    for at in np.flatnonzero(toxic).tolist():
+        holders.update(set().union(*map(_fragments, documents[at])))
+    # Pieces that no toxic document has are never wanted, and they are nearly all there are.
+    known: dict[str, set[str]] = {}
+    for at in np.flatnonzero(~toxic).tolist():
         seen: set[str] = set()
-        for word in words:
-            pieces = pieces_of.get(word)
+        for word in documents[at]:
+            pieces = known.get(word)
             if pieces is None:
-                pieces = _fragments(word)
-                if found is holders:
-                    pieces_of[word] = pieces
+                pieces = known[word] = _fragments(word) & holders.keys() or _NONE
             seen |= pieces
-        found.update(seen)
+        plain.update(seen)
     least = max(2.0, np.log(max(2, len(holders))) / -np.log(min(0.5, toxic.mean())))
     gains = {piece: times - 3 * plain[piece] for piece, times in holders.items()}
     by_gain = sorted(gains, key=lambda piece: (-gains[piece], -len(piece), piece))
     wanted = [piece for piece in by_gain if gains[piece] >= least] or by_gain[:1]
+    held_by: dict[str, set[int]] = {piece: set() for piece in wanted}
+    for at in np.flatnonzero(toxic).tolist():
+        for piece in set().union(*map(_fragments, documents[at])) & held_by.keys():
+            held_by[piece].add(at)
     chosen: list[str] = []
+    explained: set[int] = set()
     for piece in wanted:
-        if not _alike(piece, chosen):
+        if (gains[piece] >= 2 * least or held_by[piece] - explained) and not _alike(piece, chosen):
             chosen.append(piece)
+            explained |= held_by[piece]
     return chosen
 
 
@@ -286,28 +300,29 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
     own = np.array([landmarks.kernels(piece)[at] for at, piece in enumerate(marked)])
     # Words that have next to nothing in common with a toxic landmark cannot be a document's worst.
     place: dict[str, int] = {}
-    kernels: list[np.ndarray] = []
-    members, counts = [], []
+    whitened, firsts = bytearray(), array("d")
+    members, counts = array("q"), []
     for words in documents:
         before = len(members)
         for word in words:
             at = place.get(word)
             if at is None:
                 vector = landmarks.kernels(word)
-                close = (vector[: len(marked)] > CLOSE * own).any()
-                at = place[word] = len(kernels) if close else -1
-                if close:
-                    kernels.append(vector.astype(np.float32))
+                held = vector[: len(marked)] / own
+                at = place[word] = len(firsts) if (held > CLOSE).any() else -1
+                if at >= 0:
+                    row = np.append(vector @ landmarks.whitening, 1.0)
+                    whitened += row.astype(np.float32).tobytes()
+                    # To begin with, the worst word is the one that holds most of a toxic landmark.
+                    firsts.append(held.max())
             if at >= 0:
                 members.append(at)
         counts.append(len(members) - before)
-    plain = np.array(kernels, np.float32).reshape(-1, len(landmarks.strings))
-    # To begin with, the worst word is the one that holds most of a toxic landmark.
-    margins = np.append((plain[:, : len(marked)] / own).max(axis=1, initial=0.0), 0.0)
     # The last row is a word without anything in common with a landmark; every document has it.
-    rows = np.zeros((len(plain) + 1, landmarks.whitening.shape[1] + 1), np.float32)
-    np.matmul(plain, landmarks.whitening.astype(np.float32), out=rows[:-1, :-1])
-    rows[:, -1] = 1.0
+    width = landmarks.whitening.shape[1] + 1
+    whitened += np.append(np.zeros(width - 1), 1.0).astype(np.float32).tobytes()
+    rows = np.frombuffer(whitened, np.float32).reshape(-1, width)
+    margins = np.append(np.array(firsts), 0.0)
     members, counts = np.array(members, np.int64), np.array(counts)
     bounds = np.cumsum(counts) - counts
     # The toxic landmarks are examples too, so that a rare or short one counts as much as a frequent
@@ -336,7 +351,9 @@ def fit_machine(documents: list[list[str]], labels: list[int]) -> ToxicityModel:
         signs = np.repeat([1.0, -1.0], [len(positive), len(harmless)])
         share = np.append(positive, np.full(len(harmless), 0.5 / len(harmless)))
         weights = _hinge(examples, signs, share)
-        margins = rows @ weights
+        margins = np.concatenate(
+            [rows[at : at + BLOCK_ROWS] @ weights for at in range(0, len(rows), BLOCK_ROWS)]
+        )
     tops = np.array(
         [
             max(margins[members[low : low + n]].max(initial=-np.inf), margins[-1])
@@ -373,9 +390,21 @@ def fit_toxicity(
         return pa.array(found, type=pa.list_(pa.string()))
 
     words = F.arrow_udf(extract, "array<string>")(F.col("text"))
-    rows = texts.join(chosen, "id").select("label", "id", words.alias("words")).collect()
-    rows.sort(key=lambda row: (str(row["id"]), row["label"], row["words"]))
-    return fit_machine([row["words"] for row in rows], [row["label"] for row in rows])
+    found = texts.join(chosen, "id").select("label", F.col("id").cast("string"), words.alias("words"))
+    labelled, documents = _shared_words(found.toArrow())
+    order = sorted(range(len(labelled)), key=lambda at: (*labelled[at], documents[at]))
+    return fit_machine([documents[at] for at in order], [labelled[at][1] for at in order])
+
+
+def _shared_words(rows: pa.Table) -> tuple[list[tuple[str, int]], list[list[str]]]:
+    """Ids with labels, and the words of each row, of which every distinct one is held once."""
+    known: dict[str, str] = {}
+    documents = [
+        [known.setdefault(word, word) for word in words.as_py()]
+        for chunk in rows.column("words").chunks
+        for words in chunk
+    ]
+    return list(zip(rows.column("id").to_pylist(), rows.column("label").to_pylist())), documents
 
 
 @lru_cache(maxsize=2)
