@@ -152,6 +152,22 @@ def test_hot_groups_are_exactly_those_above_the_limit(spark):
     assert skew.find_hot_groups(samples, DAY.trip_keys, max(sizes.values())) is None
 
 
+def test_many_tiles_in_few_partitions(spark):
+    """Tiles hold the limit at most and follow the order; partitions do not grow with the tiles."""
+    samples = with_bucket(frame(spark, mixed_samples()), DAY)
+    hot = skew.find_hot_groups(samples, DAY.trip_keys, 3)
+    order = [*DAY.trip_keys, *skew.SAMPLE_ORDER]
+    rows = hot.select_from(samples, DAY.trip_keys, "left_semi").select(*order).distinct()
+    tiled = skew.with_tiles(rows, DAY.trip_keys, hot)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert hot.tiles > 10 * partitions and tiled.rdd.getNumPartitions() <= partitions
+    found = tiled.orderBy(*order).select("tile").collect()
+    tiles = [row["tile"] for row in found]
+    assert tiles == sorted(tiles) and len(tiles) == rows.count()
+    assert max(tiles.count(tile) for tile in set(tiles)) <= 3
+    assert len(set(tiles)) <= hot.tiles + 2 * partitions
+
+
 def test_more_hot_groups_than_are_broadcast(spark, monkeypatch):
     monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 2)
     samples = with_bucket(frame(spark, mixed_samples()), DAY)

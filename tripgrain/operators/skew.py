@@ -44,6 +44,17 @@ class HotGroups:
     groups: DataFrame
     count: int
     tiles: int
+    tile_rows: int = MAX_GROUP_ROWS
+
+    @property
+    def ranges(self) -> int:
+        """Spark partitions to sort hot rows in.
+
+        No more than the session shuffles with, unless one would hold over `MAX_GROUP_ROWS` rows: the
+        driver takes a sample of each to place their bounds, so they must not follow a small limit.
+        """
+        usual = int(self.groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return min(self.tiles, max(usual, -(-self.tiles * self.tile_rows // MAX_GROUP_ROWS)))
 
     def select_from(self, samples: DataFrame, keys: list[str], how: str) -> DataFrame:
         return join_keys(samples, self.groups.select(*keys), keys, how, self.count)
@@ -84,7 +95,8 @@ def find_hot_groups(
     found = groups.agg(F.count(F.lit(1)).alias("groups"), F.sum("rows").alias("rows")).first()
     if not found["groups"]:
         return None
-    return HotGroups(groups, found["groups"], -(-found["rows"] // max_group_rows))
+    tiles = -(-found["rows"] // max_group_rows)
+    return HotGroups(groups, found["groups"], tiles, max_group_rows)
 
 
 def by_group_size(
@@ -109,11 +121,15 @@ def by_group_size(
 
 
 def with_tiles(
-    samples: DataFrame, keys: list[str], tiles: int, order: list[str] = SAMPLE_ORDER
+    samples: DataFrame, keys: list[str], hot: HotGroups, order: list[str] = SAMPLE_ORDER
 ) -> DataFrame:
-    """Cut groups into `tile`s: evenly sized ranges that follow each other in sample order.
+    """Cut groups into `tile`s: stretches of `tile_rows` rows that follow each other in sample order.
 
-    Rows equal in all of `order` cannot be told apart by a range, so callers merge copies first.
+    Rows are sorted in `ranges` partitions, each of which is cut by row numbers, so that neither the
+    tasks nor the driver's sample of bounds grow with the number of tiles. Rows equal in all of `order`
+    cannot be told apart by a range, so callers merge copies first.
     """
-    ranged = samples.repartitionByRange(tiles, *keys, *order)
-    return ranged.withColumn("tile", F.spark_partition_id())
+    ranged = samples.repartitionByRange(hot.ranges, *keys, *order)
+    # Row numbers start anew in each partition, far above those of the one before.
+    number = F.expr(f"monotonically_increasing_id() div {hot.tile_rows}")
+    return ranged.sortWithinPartitions(*keys, *order).withColumn("tile", number)

@@ -46,7 +46,7 @@ def _tiled_trips(
     are stored, because ranks and tile totals must agree on where the tiles begin.
     """
     runs = samples.groupBy(*keys, *SAMPLE_ORDER).agg(F.count(F.lit(1)).alias("copies"))
-    tiled = cut_lineage(with_tiles(runs, keys, hot.tiles))
+    tiled = cut_lineage(with_tiles(runs, keys, hot))
 
     by_tile = Window.partitionBy(*keys).orderBy("tile")
     earlier_tiles = by_tile.rowsBetween(Window.unboundedPreceding, -1)
@@ -56,8 +56,10 @@ def _tiled_trips(
         .withColumn("offset", F.coalesce(F.sum("rows").over(earlier_tiles), F.lit(0)))
         .drop("rows")
     )
-    # A tile is a range, so each boundary adds one row to those of the groups.
-    tiled = join_keys(tiled, offsets, [*keys, "tile"], "inner", hot.count + hot.tiles)
+    # A tile is a stretch, so each boundary adds one row to those of the groups; a partition's first
+    # and last tile may be short.
+    pieces_at_most = hot.count + hot.tiles + 2 * hot.ranges
+    tiled = join_keys(tiled, offsets, [*keys, "tile"], "inner", pieces_at_most)
 
     in_order = ordered_samples([*keys, "tile"])
     earlier_rows = in_order.rowsBetween(Window.unboundedPreceding, -1)

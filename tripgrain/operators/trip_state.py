@@ -58,7 +58,7 @@ def trip_state(
         )
 
     def large(rows: DataFrame, hot: HotGroups) -> DataFrame:
-        pieces = tile_pieces(rows, keys, motion, hot.tiles)
+        pieces = tile_pieces(rows, keys, motion, hot)
         named = pieces.withColumn("piece", F.concat_ws("/", F.lit(batch), "tile")).drop("tile")
         counts = rows.groupBy(*keys, "user_id", "vehicle_id").agg(seconds)
         return counts.unionByName(named, allowMissingColumns=True).select(

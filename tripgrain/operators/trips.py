@@ -124,14 +124,16 @@ def seen_ends(motion: Motion) -> list[Column]:
     ]
 
 
-def tile_pieces(samples: DataFrame, keys: list[str], motion: Motion, tiles: int) -> DataFrame:
+def tile_pieces(
+    samples: DataFrame, keys: list[str], motion: Motion, hot: HotGroups
+) -> DataFrame:
     """Hot trips in pieces that follow each other: sums within a `tile`, and its ends.
 
     Copies of a sample are dropped first: there is no distance and no `ct` progress between them.
     """
     distinct = samples.select(*keys, *motion.order).distinct()
     stepped = with_steps(
-        with_tiles(distinct, keys, tiles, motion.order), [*keys, "tile"], motion
+        with_tiles(distinct, keys, hot, motion.order), [*keys, "tile"], motion
     )
     # Grouped in the key order of the window, whose sort then serves this aggregation as well.
     return stepped.groupBy("tile", *reversed(keys)).agg(
@@ -176,10 +178,10 @@ def joined_sums(measures: list[str]) -> list[Column]:
 
 
 def _tiled_motion(
-    samples: DataFrame, keys: list[str], motion: Motion, tiles: int
+    samples: DataFrame, keys: list[str], motion: Motion, hot: HotGroups
 ) -> DataFrame:
     """Motion of hot trips: steps within tiles, plus the seams between one tile and the next."""
-    pieces = tile_pieces(samples, keys, motion, tiles)
+    pieces = tile_pieces(samples, keys, motion, hot)
     measured = with_seams(pieces, keys, motion, ["tile"])
     return measured.groupBy(*keys).agg(*joined_sums(motion.measures))
 
@@ -191,7 +193,7 @@ def _trip_motion(
         return with_steps(rows, keys, motion).groupBy(*keys).agg(*sums(motion.measures))
 
     def large(rows: DataFrame, hot: HotGroups) -> DataFrame:
-        return _tiled_motion(rows, keys, motion, hot.tiles)
+        return _tiled_motion(rows, keys, motion, hot)
 
     return by_group_size(motion.inputs(samples), keys, small, large, max_group_rows)
 
@@ -263,7 +265,7 @@ def trip_rows(
     def large(rows: DataFrame, hot: HotGroups) -> DataFrame:
         # Each hot trip has one row of counts and one of motion; `max` puts the two together.
         counts = trip_agg(rows, keys).drop("size_of_latitude")
-        moved = _tiled_motion(rows, keys, motion, hot.tiles)
+        moved = _tiled_motion(rows, keys, motion, hot)
         halves = counts.unionByName(moved, allowMissingColumns=True)
         values = [column for column in halves.columns if column not in keys]
         return halves.groupBy(*keys).agg(*[F.max(value).alias(value) for value in values])
