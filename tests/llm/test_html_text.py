@@ -83,6 +83,33 @@ def test_repeated_runs_of_a_host_go(spark):
     assert found[12] == "home news about contact us"
 
 
+def test_open_text_beside_an_article_is_judged(spark):
+    """A story in `main` beside a teaser card, and what all pages of a host show beside their articles."""
+    top, end = "<div>home news about contact us</div>", "<div>all rights are held by us</div>"
+    rows = [
+        (1, "https://a.example/1", f"{top}<main><p>the long story is told here</p><article>a card</article>"
+            f"<p>and it ends there</p></main>{end}", 1, 1),
+        (2, "https://a.example/2", f"{top}<article><p>two</p><p>all rights are held by us</p></article>{end}", 1, 1),
+        (3, "https://a.example/3", f"{top}no article", 1, 1),
+        (4, "https://b.example/4", "<div>go home</div><article>four</article>", 1, 1),
+        (5, "https://b.example/5", "<div>go home</div><article>five</article>", 1, 1),
+        (6, "https://b.example/6", "<div>go away</div><article>six</article>", 1, 1),
+        (7, "https://c.example/7", "<div>go home</div>", 1, 1),
+        (8, "https://c.example/8", "<div>go home</div>!", 1, 1),
+        (9, "https://d.example/9", "<article>same text on two pages</article><p>nine</p>", 1, 1),
+        (10, "https://d.example/10", "<article>same text on two pages</article><p>ten</p>", 1, 1),
+        (11, "https://d.example/11", "<p>same text on two pages</p>", 1, 1),
+    ]
+    found = run(spark, rows)[1]
+    assert found[1] == "the long story is told here\na card\nand it ends there"
+    assert found[2] == "two\nall rights are held by us"
+    assert found[3] == "no article"
+    assert [found[i] for i in (4, 5, 6)] == ["four", "five", "go away\nsix"]
+    assert [found[i] for i in (7, 8)] == ["go home", "go home\n!"]
+    assert [found[i] for i in (9, 10)] == ["same text on two pages\n" + last for last in ("nine", "ten")]
+    assert found[11] == "same text on two pages"
+
+
 def test_empty_table(spark):
     assert run(spark, [])[1] == {}
 

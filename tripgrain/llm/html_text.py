@@ -4,11 +4,13 @@ Markup decides what it can: text inside an article is main text, text in menus,
 sidebars, forms, adverts, notices and reader comments is not. Text that markup leaves open is judged
 by a suffix array of its host: the word streams of all pages of a host are put end to end, and a
 word run of `RUN_WORDS` or more that occurs in distinct pages is boilerplate; the unique runs
-between stay. Suffixes are brought together by host and the hash of their first `RUN_WORDS` words,
-so neighbours with that much in common meet wherever they are.
+between stay, on pages with an article as on those without one. Suffixes are brought together by host
+and the hash of their first `RUN_WORDS` words: these are the intervals of the array whose longest common
+prefixes reach that length, so neighbours with that much in common meet wherever they are.
 
 Repeated runs alone would also take out articles that a host shows on two pages, which are main
-text; this is why an article is left whole. On a page with an article, open text outside is left out.
+text; this is why an article is left whole and takes no part in the search. Beside an article, open text
+of fewer words than a run is one run: it goes if another page has the same and no more open text.
 
 Defined results: NULL and empty pages have the empty text; a page without host is of the host "";
 rows with the same page on the same host are one page; text nested in unclosed or wrongly nested
@@ -143,19 +145,20 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     return [block for block in blocks if block[0]]
 
 
-PARSED = "struct<article:array<string>,open:array<string>>"
+PARSED = "struct<blocks:array<string>,open:array<int>>"
 
 
 def _parsed(page: Column) -> Column:
+    """The blocks of a page that are not dropped, and the places of those that markup leaves open."""
+
     def parse_batch(pages: pa.Array) -> pa.Array:
         rows = []
         for page in pages:
             blocks = blocks_of(page.as_py())
-            article = [text for standing, text in blocks if standing == ARTICLE]
-            undecided = [] if article else [text for _, text in blocks]
-            rows.append({"article": article, "open": undecided})
-        texts = pa.list_(pa.string())
-        return pa.array(rows, type=pa.struct([("article", texts), ("open", texts)]))
+            undecided = [at for at, (standing, _) in enumerate(blocks) if standing == OPEN]
+            rows.append({"blocks": [text for _, text in blocks], "open": undecided})
+        kinds = [("blocks", pa.list_(pa.string())), ("open", pa.list_(pa.int32()))]
+        return pa.array(rows, type=pa.struct(kinds))
 
     return F.arrow_udf(parse_batch, PARSED)(page)
 
@@ -163,11 +166,16 @@ def _parsed(page: Column) -> Column:
 def repeated_runs(streams: DataFrame, run_words: int) -> DataFrame:
     """`host, page, starts`: where in a page runs begin that distinct pages of its host share.
 
-    `streams` has `host`, `page` and the word stream `words`. Counting is combined before the
-    shuffle, and a frequent run is one key of many, so a host of any size is spread out.
+    `streams` has `host`, `page`, the word stream `words`, and `whole`, which makes a stream of fewer
+    words one run. Counting is combined before the shuffle, and a frequent run is one key of many, so a
+    host of any size is spread out.
     """
     last = F.size("words") - run_words
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    starts = (
+        F.when(last >= 0, F.sequence(F.lit(0), last))
+        .when(F.col("whole"), F.array(F.lit(0)))
+        .otherwise(F.array().cast("array<int>"))
+    )
     hashed = F.transform(
         starts,
         lambda at: F.struct(
@@ -190,15 +198,19 @@ def repeated_runs(streams: DataFrame, run_words: int) -> DataFrame:
     )
 
 
-def _unique_runs(blocks: Column, starts: Column, run_words: int) -> Column:
-    """Blocks without the words that repeated runs cover."""
+def _unique_runs(blocks: Column, undecided: Column, starts: Column, run_words: int) -> Column:
+    """Blocks, those in `undecided` without the words that repeated runs cover."""
 
-    def strip_batch(pages: pa.Array, places: pa.Array) -> pa.Array:
+    def strip_batch(pages: pa.Array, places: pa.Array, found: pa.Array) -> pa.Array:
         rows = []
-        for page, covered in zip(pages.to_pylist(), places.to_pylist()):
+        for page, judged, covered in zip(pages.to_pylist(), places.to_pylist(), found.to_pylist()):
             hidden = {start + i for start in covered or () for i in range(run_words)}
+            judged = set(judged)
             kept, at = [], 0
-            for block in page:
+            for place, block in enumerate(page):
+                if place not in judged:
+                    kept.append(block)
+                    continue
                 words = block.split(" ")
                 left = [word for i, word in enumerate(words, at) if i not in hidden]
                 at += len(words)
@@ -207,7 +219,7 @@ def _unique_runs(blocks: Column, starts: Column, run_words: int) -> Column:
             rows.append(kept)
         return pa.array(rows, type=pa.list_(pa.string()))
 
-    return F.arrow_udf(strip_batch, "array<string>")(blocks, starts)
+    return F.arrow_udf(strip_batch, "array<string>")(blocks, undecided, starts)
 
 
 def host_of(url: Column) -> Column:
@@ -230,17 +242,21 @@ def extract_text(
     open_pages = marked.filter(undecided).withColumns(
         {host: host_of(F.col(f"`{url}`")), page: F.xxhash64(whole_text(html))}
     )
-    words = F.split(F.array_join(f"{parsed}.open", " "), " ")
+    blocks, places = F.col(f"{parsed}.blocks"), F.col(f"{parsed}.open")
+    words = F.split(F.array_join(F.transform(places, lambda at: blocks[at]), " "), " ")
     streams = open_pages.select(
-        F.col(host).alias("host"), F.col(page).alias("page"), words.alias("words")
+        F.col(host).alias("host"),
+        F.col(page).alias("page"),
+        words.alias("words"),
+        (F.size(blocks) > F.size(places)).alias("whole"),
     )
     covered = repeated_runs(streams, run_words).withColumnsRenamed({"host": host, "page": page})
     starts = fresh_name(pages, "starts_")
     joined = open_pages.join(covered.withColumnRenamed("starts", starts), [host, page], "left")
-    unique = _unique_runs(F.col(f"{parsed}.open"), F.col(starts), run_words)
+    unique = _unique_runs(blocks, places, F.col(starts), run_words)
     settled = marked.filter(~undecided)
     line_feed = "\n"
-    done = settled.withColumn(parsed, F.array_join(f"{parsed}.article", line_feed)).select(
+    done = settled.withColumn(parsed, F.array_join(blocks, line_feed)).select(
         *[f"`{name}`" for name in pages.columns], parsed
     )
     judged = joined.withColumn(parsed, F.array_join(unique, line_feed)).select(
