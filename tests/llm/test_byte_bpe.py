@@ -35,6 +35,15 @@ def test_prefix_table_gives_the_plain_merges(ranks):
         assert encoder.tokens(table[:cut]) == encoder.merged(data[:cut])
 
 
+def test_states_tell_every_token_that_ends_there(ranks):
+    encoder, chance = PrefixEncoder(ranks), random.Random(3)
+    data = bytes(chance.choice(b"abcd e\xc3\xa9.ththeing  ") for _ in range(400)) + b" " * 150 + b"ation" * 9
+    for end in range(1, len(data) + 1):
+        tails = [data[start:end] for start in range(max(0, end - encoder.longest), end)]
+        expected = [(len(tail), encoder.ids[tail]) for tail in tails if tail in encoder.ids]
+        assert list(encoder._endings[encoder._state(data, end)]) == expected
+
+
 def test_appends_and_edits_equal_a_fresh_table(ranks):
     encoder, chance = PrefixEncoder(ranks), random.Random(2)
     data = b"the quick brown fox jumps over the lazy dog, and then some more " * 20

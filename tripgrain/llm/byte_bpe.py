@@ -31,8 +31,8 @@ MAX_CACHED_PIECES = 200_000
 MAX_CACHED_SEAMS = 200_000
 # Tables of beginnings of so many bytes are kept, so that a piece goes on from a known prefix.
 HEAD_BYTES, MAX_CACHED_HEADS = (6, 3), 30_000
-# Pairs of ids as one number; candidates where no token of three bytes or more ends.
-SEAM_BASE, SHORT = 1 << 32, (2, 1)
+# Pairs of ids as one number.
+SEAM_BASE = 1 << 32
 
 
 def read_ranks(payload: bytes) -> dict[bytes, int]:
@@ -58,16 +58,48 @@ class PrefixEncoder:
         self.ids = {token: ranks[token] for token in self.halves}
         self.token_of = {rank: token for token, rank in self.ids.items()}
         self.longest = max(map(len, self.halves))
-        # The lengths of the tokens that end in three given bytes, the longest first.
-        lengths: dict[bytes, set[int]] = {}
-        for token in self.halves:
-            if len(token) > 2:
-                lengths.setdefault(token[-3:], set()).add(len(token))
-        self.lengths = {
-            ending: (*sorted(found, reverse=True), 2, 1) for ending, found in lengths.items()
-        }
         self._seams: dict[int, bool] = {}
-        self._heads: dict[bytes, list[int]] = {}
+        self._heads: dict[bytes, tuple[list[int], int]] = {}
+        self._build_endings()
+
+    def _build_endings(self) -> None:
+        """An automaton whose state after some bytes tells all tokens that end there.
+
+        A state is the longest beginning of a token that the bytes end in. `_steps` leads from
+        `state << 8 | byte` to the next one, `_shorter` to the next shorter beginning, and `_endings`
+        has the length and id of each token that ends there, the longest first.
+        """
+        steps, origin, ids = {}, [(0, 0)], [(0, -1)]
+        for token, rank in self.ids.items():
+            state = 0
+            for byte in token:
+                key = state << 8 | byte
+                state = steps.get(key, 0)
+                if not state:
+                    state = steps[key] = len(origin)
+                    origin.append((key, ids[key >> 8][0] + 1))
+                    ids.append((origin[-1][1], -1))
+            ids[state] = (len(token), rank)
+        shorter, endings = [0] * len(origin), [()] * len(origin)
+        for state in sorted(range(1, len(origin)), key=lambda state: origin[state][1]):
+            before, byte = divmod(origin[state][0], 256)
+            if before:
+                back = shorter[before]
+                while back and back << 8 | byte not in steps:
+                    back = shorter[back]
+                shorter[state] = steps[back << 8 | byte]
+            own = (ids[state],) if ids[state][1] >= 0 else ()
+            endings[state] = own + endings[shorter[state]] if own else endings[shorter[state]]
+        self._steps, self._shorter, self._endings = steps, shorter, endings
+
+    def _state(self, data: bytes, end: int) -> int:
+        """The automaton's state after `data[:end]`, for which one longest token of bytes is enough."""
+        state = 0
+        for byte in data[max(0, end - self.longest) : end]:
+            while (found := self._steps.get(state << 8 | byte)) is None:
+                state = self._shorter[state]
+            state = found
+        return state
 
     def merged(self, data: bytes) -> list[int]:
         """The encoding by the plain rule: merge the adjacent pair of lowest rank, repeatedly."""
@@ -128,15 +160,19 @@ class PrefixEncoder:
 
     def extend(self, data: bytes, last: list[int], until: int | None = None) -> list[int]:
         """Complete the table of last tokens of `data`, of which `last` covers a prefix."""
-        id_of, seams, lengths = self.ids.get, self._seams, self.lengths
-        for end in range(len(last) + 1, (until or len(data)) + 1):
-            for length in lengths.get(data[end - 3 : end], SHORT) if end > 2 else SHORT:
+        self._extend(data, last, until or len(data), self._state(data, len(last)))
+        return last
+
+    def _extend(self, data: bytes, last: list[int], until: int, state: int) -> int:
+        """`extend` from the state after what `last` covers; returns the state at the end."""
+        steps, shorter, endings, seams = self._steps, self._shorter, self._endings, self._seams
+        for end in range(len(last) + 1, until + 1):
+            byte = data[end - 1]
+            while (found := steps.get(state << 8 | byte)) is None:
+                state = shorter[state]
+            state = found
+            for length, token in endings[state]:
                 start = end - length
-                if start < 0:
-                    continue
-                token = id_of(data[start:end])
-                if token is None:
-                    continue
                 if not start:
                     break
                 seam = last[start - 1] * SEAM_BASE + token
@@ -144,7 +180,7 @@ class PrefixEncoder:
                 if stable or (stable is None and self._stable(seam)):
                     break
             last.append(token)
-        return last
+        return state
 
     def replace(
         self, data: bytes, last: list[int], start: int, end: int, new: bytes
@@ -156,8 +192,9 @@ class PrefixEncoder:
         """
         edited = data[:start] + new + data[end:]
         table, shift, same = last[:start], len(new) - (end - start), 0
+        state = self._state(edited, start)
         for at in range(start, len(edited)):
-            self.extend(edited, table, at + 1)
+            state = self._extend(edited, table, at + 1, state)
             old = at - shift
             same = same + 1 if old >= end and table[-1] == last[old] else 0
             if same >= self.longest:
@@ -173,21 +210,24 @@ class PrefixEncoder:
         return found[::-1]
 
     def encode(self, data: bytes) -> list[int]:
-        return self.tokens(self.extend(data, self._known_prefix(data, HEAD_BYTES)))
+        table, state = self._known_prefix(data, HEAD_BYTES)
+        self._extend(data, table, len(data), state)
+        return self.tokens(table)
 
-    def _known_prefix(self, data: bytes, lengths: tuple[int, ...]) -> list[int]:
-        """A copy of the table of the longest beginning of `data` that has one of these lengths."""
+    def _known_prefix(self, data: bytes, lengths: tuple[int, ...]) -> tuple[list[int], int]:
+        """The longest beginning of `data` of one of these lengths: a copy of its table, its state."""
         for place, length in enumerate(lengths):
             if length < len(data):
                 head = data[:length]
-                table = self._heads.get(head)
-                if table is None:
-                    table = self.extend(head, self._known_prefix(head, lengths[place + 1 :]))
+                known = self._heads.get(head)
+                if known is None:
+                    table, state = self._known_prefix(head, lengths[place + 1 :])
+                    known = table, self._extend(head, table, length, state)
                     if len(self._heads) >= MAX_CACHED_HEADS:
                         self._heads.clear()
-                    self._heads[head] = table
-                return table.copy()
-        return []
+                    self._heads[head] = known
+                return known[0].copy(), known[1]
+        return [], 0
 
 
 class PieceIds(dict):
