@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,31 @@ def test_bitmaps_bound_from_above():
             assert bound >= g.overlap(a, b) == len(np.intersect1d(a, b))
 
 
+def test_rough_bitmaps_bound_from_above():
+    pick = np.random.default_rng(4)
+    for size in (1, 40, 64, 200, 3000):
+        a = np.unique(pick.integers(0, 1 << 63, size, dtype=np.uint64))
+        for kept in (0, size // 2, size):
+            fresh = pick.integers(0, 1 << 63, size // 3 + 1, dtype=np.uint64)
+            b = np.unique(np.concatenate((a[:kept], fresh)))
+            bits_a, bits_b = (g.rough(g.bitmap(x)) for x in (a, b))
+            assert len(bits_a) == max(8, len(g.bitmap(a)) // g.ROUGH)
+            assert g.overlap_bound(len(a), bits_a, len(b), bits_b) >= g.overlap(a, b)
+
+
+def test_bitmaps_are_moved_once_for_each_tile(spark, capsys):
+    """Of the shuffles that deal tiles into cells only the one by cells has bitmaps in its rows."""
+    tiles = spark.createDataFrame([(1, 5, 5), (1, 6, 6), (2, 5, 5)], "key bigint, node bigint, root bigint")
+    facts = spark.createDataFrame([(5, 9, b"x" * 64), (6, 9, b"y" * 64)], "node bigint, size bigint, bits binary")
+    cells = g._cells(tiles, facts)
+    cells.explain("formatted")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert sum("key" in columns and "bits" in columns for columns in moved) == 1
+    assert sorted((r["key"], r["i"], r["j"], r["node"], bytes(r["bits"])[:1]) for r in cells.collect()) == [
+        (1, 0, 0, 5, b"x"), (1, 0, 0, 6, b"y")
+    ]
+
+
 def test_shared_tokens_are_among_the_first():
     """For every way of dealing out, similar sets have a tile in common."""
     pick = np.random.default_rng(9)

@@ -14,8 +14,10 @@ out again by another hash.
 
 *Bitmaps.* Each set has a bitmap of four to eight bits a hash, in which every hash flips its bit. A bit in
 which two bitmaps differ stands for at least one hash that only one set has, so counting such bits
-bounds the overlap from above. Only pairs that the bound lets pass are intersected, by search in
-the sorted hashes, and hashes are listed only for sets in such a pair.
+bounds the overlap from above. Laid over itself to one or two bits a hash it still rules out most
+pairs, so what is moved for every tile is that rough one, and the whole one only for sets that it
+leaves a partner. Only pairs that the bound lets pass are intersected, by search in the sorted
+hashes, and hashes are listed only for such sets.
 
 Only links between components matter. First each tile's sets are compared with its first one, which
 settles tiles of two. Then, among the others of tiles that hold several components, every set
@@ -59,6 +61,8 @@ MAX_BROADCAST_IDS = 1_000_000
 # After so many hashes a set is dealt out by single hashes, which always are tokens enough.
 MAX_TRIES = 8
 CELL_BYTES = 16 * 1024 * 1024
+# Times that a rough bitmap is shorter, a power of two.
+ROUGH = 4
 # Sets that a task remembers having dealt out, so that copies are dealt once.
 MAX_REMEMBERED = 500_000
 
@@ -146,6 +150,11 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
     return words
 
 
+def rough(bits: bytes) -> bytes:
+    """A bitmap laid over itself to one or two bits a hash, but no fewer than 64 bits."""
+    return folded(np.frombuffer(bits, np.uint64), max(1, len(bits) // (8 * ROUGH))).tobytes()
+
+
 def differing_bits(a: bytes, b: bytes) -> int:
     """In how many bits two bitmaps differ, the longer one folded."""
     if len(a) < len(b):
@@ -182,20 +191,22 @@ LONGS = pa.list_(pa.int64())
 
 
 def _sized(text: Column, words: int, percent: int) -> Column:
-    """`node, size, tries, bits` of the set of a text."""
+    """`node, size, tries, bits, rough` of the set of a text."""
 
     def run(texts: pa.Array) -> pa.Array:
         rows = []
         for text in texts:
             hashes = shingle_hashes(text.as_py(), words)
             tries = tries_of(hashes, percent) if len(hashes) else 0
-            rows.append((set_id(hashes), len(hashes), tries, bitmap(hashes)))
-        columns = zip(*rows) if rows else ((), (), (), ())
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            bits = bitmap(hashes)
+            rows.append((set_id(hashes), len(hashes), tries, bits, rough(bits)))
+        columns = zip(*rows) if rows else ((), (), (), (), ())
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
-        return pa.StructArray.from_arrays(arrays, ["node", "size", "tries", "bits"])
+        return pa.StructArray.from_arrays(arrays, ["node", "size", "tries", "bits", "rough"])
 
-    return F.arrow_udf(run, "struct<node:bigint,size:bigint,tries:int,bits:binary>")(text)
+    kind = "struct<node:bigint,size:bigint,tries:int,bits:binary,rough:binary>"
+    return F.arrow_udf(run, kind)(text)
 
 
 def _keyed(documents: DataFrame, words: int, percent: int, tries: int) -> DataFrame:
@@ -385,18 +396,21 @@ def _in_cells(make, names: list[str], kinds: list):
 
 
 def _cells(tiles: DataFrame, facts: DataFrame) -> DataFrame:
-    """Tiles with several roots, dealt into cells; from `key, node, root` and `node, size, bits`."""
-    held = tiles.join(facts, "node")
-    width = F.sum(F.octet_length("bits").cast("bigint")).alias("width")
-    several = held.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), width)
+    """Tiles with several roots, dealt into cells; from `key, node, root` and `node, size, bits`.
+
+    Bitmaps join the rows only when their cells are known, and so are moved once.
+    """
+    widths = facts.select("node", F.octet_length("bits").cast("bigint").alias("width"))
+    width = F.sum("width").alias("width")
+    several = tiles.join(widths, "node").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), width)
     blocks = several.filter("low < high").select(
         "key", F.ceil(F.col("width") / CELL_BYTES).cast("bigint").alias("blocks")
     )
     # Every two blocks meet in a cell, and each block meets itself.
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
-    dealt = held.join(blocks, "key").select("key", "node", "root", "size", "bits", block, "blocks")
-    cells = dealt.select("*", other).select(
+    dealt = tiles.join(blocks, "key").select("key", "node", "root", block, other)
+    cells = dealt.join(facts, "node").select(
         "key",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
@@ -459,7 +473,7 @@ def similar_links(
 ) -> DataFrame:
     """Links `a, b` between sets whose components are those of all pairs that are similar enough.
 
-    From `id, text` of documents and `id, node, size, bits` of their sets.
+    From `id, text` of documents and `id, node, size, bits, rough` of their sets.
     """
     spark = documents.sparkSession
     parts = []
@@ -472,7 +486,17 @@ def similar_links(
     tiles_path = scratch_path(spark, "ngram-tiles")
     reduce(DataFrame.unionByName, parts).select("key", "node").write.parquet(tiles_path)
     tiles = spark.read.parquet(tiles_path)
-    facts = hashed.groupBy("node").agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
+
+    def facts_of(sets: DataFrame, bits: str) -> DataFrame:
+        return sets.groupBy("node").agg(F.first("size").alias("size"), F.first(bits).alias("bits"))
+
+    def passed(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(facts.toDF(end, f"size_{end}", f"bits_{end}"), end)
+        may_be = _may_be_similar(percent)("size_a", "bits_a", "size_b", "bits_b")
+        return cut_lineage(pairs.filter(may_be).select("a", "b"))
+
+    facts = facts_of(hashed, "rough")
 
     # Every tile's first set against all of it, and the others among each other.
     ends = cut_lineage(
@@ -480,13 +504,10 @@ def similar_links(
     )
     others = tiles.join(ends, "key").filter("low < node")
     pairs = others.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    for end in ("a", "b"):
-        pairs = pairs.join(facts.toDF(end, f"size_{end}", f"bits_{end}"), end)
-    passed = _may_be_similar(percent)("size_a", "bits_a", "size_b", "bits_b")
-    first = cut_lineage(pairs.filter(passed).select("a", "b"))
+    first = passed(pairs, facts)
     middle = cut_lineage(others.filter("n > 2").select("key", "node"))
 
-    # Sets that a bitmap leaves a partner, and the tiles of these.
+    # Sets that a rough bitmap leaves a partner, and the tiles and whole bitmaps of these.
     alone = _cells(middle.withColumn("root", F.col("node")), facts)
     found = alone.mapInArrow(
         _in_cells(lambda sets: [(node,) for node in Cell(sets, percent).live()], ["node"], [pa.int64()]),
@@ -494,7 +515,8 @@ def similar_links(
     )
     ends_live = first.select(F.explode(F.array("a", "b")).alias("node"))
     live = cut_lineage(found.unionByName(ends_live).distinct())
-    facts = cut_lineage(facts.join(live, "node", "left_semi"))
+    facts = cut_lineage(facts_of(hashed.join(live, "node", "left_semi"), "bits"))
+    first = passed(first, facts)
     middle = cut_lineage(middle.join(live, "node", "left_semi"))
     sets_path = scratch_path(spark, "ngram-sets")
     _listed(documents, hashed, live, words).write.parquet(sets_path)
