@@ -61,8 +61,8 @@ MAX_BROADCAST_IDS = 1_000_000
 # After so many hashes a set is dealt out by single hashes, which always are tokens enough.
 MAX_TRIES = 8
 CELL_BYTES = 16 * 1024 * 1024
-# Times that a rough bitmap is shorter, a power of two.
-ROUGH = 4
+# Times that a rough bitmap is shorter, a power of two, and the words of 64 bits that it keeps.
+ROUGH, ROUGH_WORDS = 4, 8
 # Sets that a task remembers having dealt out, so that copies are dealt once.
 MAX_REMEMBERED = 500_000
 
@@ -151,8 +151,8 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
 
 
 def rough(bits: bytes) -> bytes:
-    """A bitmap laid over itself to one or two bits a hash, but no fewer than 64 bits."""
-    return folded(np.frombuffer(bits, np.uint64), max(1, len(bits) // (8 * ROUGH))).tobytes()
+    """A bitmap laid over itself to one or two bits a hash, those of short sets to no fewer than 512 bits."""
+    return folded(np.frombuffer(bits, np.uint64), max(ROUGH_WORDS, len(bits) // (8 * ROUGH))).tobytes()
 
 
 def differing_bits(a: bytes, b: bytes) -> int:
